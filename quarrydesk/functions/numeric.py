@@ -31,3 +31,18 @@ def unit_vector(vector: Column) -> Column:
     norm = F.sqrt(dot(vector, vector))
     return F.when(norm == 0, F.transform(vector, lambda x: x.cast("double"))).otherwise(
         F.transform(vector, lambda x: x.cast("double") / norm))
+
+
+def one_decimal(value: Column) -> Column:
+    """0..100 printed with one decimal, rounded on the exact binary value.
+
+    ``format_string`` rounds the shortest decimal text half up, which differs
+    on values such as 69.05. Scaling by 2**56 keeps the value exact.
+    """
+    unit = F.lit(1 << 56).cast("decimal(20,0)")
+    tenths = (value * float(1 << 56)).cast("bigint").cast("decimal(20,0)") * F.lit(10).cast("decimal(2,0)")
+    rest = tenths % unit
+    whole = ((tenths - rest) / unit).cast("bigint")
+    up = (rest * 2 > unit) | ((rest * 2 == unit) & (whole % 2 == 1))
+    rounded = whole + up.cast("bigint")
+    return F.concat(F.floor(rounded / 10).cast("string"), F.lit("."), (rounded % 10).cast("string"))

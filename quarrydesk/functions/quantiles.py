@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-BUCKET_BITS = 10
+BUCKET_BITS = 8
 
 
 def _bucket_of(value: Column, edges: Column, bits: int) -> Column:
@@ -38,8 +38,8 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     by = list(by)
     src = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
     count = 1 << bits
-    cuts = [i / count for i in range(1, count)]
-    edges = src.groupBy(*by).agg(F.percentile_approx("_v", cuts, count * 4).alias("_edges"))
+    cuts = ", ".join(f"{i / count!r}D" for i in range(1, count))
+    edges = src.groupBy(*by).agg(F.expr(f"percentile_approx(_v, array({cuts}), {count * 8})").alias("_edges"))
     hint = F.broadcast if (few_groups or not by) else (lambda small: small)
 
     if by:

@@ -19,9 +19,9 @@ def total_rows(df: DataFrame) -> DataFrame:
 
 
 def _named_counts(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
-    """One aggregate row for all checks, turned into (check, n, total) rows."""
+    """One aggregate row for all checks, turned into (check_name, n, total) rows."""
     row = df.agg(F.count("*").alias("total"), *[c.alias(f"_{i}") for i, c in enumerate(checks.values())])
-    listed = F.array(*[F.struct(F.lit(name).alias("check"), F.col(f"_{i}").alias("n"))
+    listed = F.array(*[F.struct(F.lit(name).alias("check_name"), F.col(f"_{i}").alias("n"))
                        for i, name in enumerate(checks)])
     return row.select("total", F.inline(listed))
 
@@ -33,7 +33,7 @@ def data_columns(df: DataFrame) -> list[str]:
 def null_counts(df: DataFrame) -> DataFrame:
     """NULL count and percentage of every column, zeros included."""
     counts = _named_counts(df, {c: F.count_if(F.col(c).isNull()) for c in data_columns(df)})
-    return counts.select(F.col("check").alias("column_name"), "n", pct(F.col("n"), F.col("total")).alias("pct"))
+    return counts.select(F.col("check_name").alias("column_name"), "n", pct(F.col("n"), F.col("total")).alias("pct"))
 
 
 def exact_duplicates(df: DataFrame) -> DataFrame:
@@ -70,7 +70,7 @@ def defect_counts(df: DataFrame) -> DataFrame:
 
 
 def audit_report(df: DataFrame) -> DataFrame:
-    """All checks as (check, n, pct): one scan for counts, one grouped scan for copies."""
+    """All checks as (check_name, n, pct): one scan for counts, one grouped scan for copies."""
     checks: dict[str, Column] = {"total_rows": F.count("*")}
     checks |= {f"missing:{c}": F.count_if(F.col(c).isNull()) for c in data_columns(df)}
     checks["malformed_timestamps"] = F.count_if(malformed_timestamp(F.col("created_at")))
@@ -79,10 +79,10 @@ def audit_report(df: DataFrame) -> DataFrame:
     checks["resolution_time_outliers"] = F.count_if(hours_outlier(F.col("resolution_time")))
     counts = _named_counts(df, checks)
     copies = exact_duplicates(df).select(
-        F.lit("exact_duplicates").alias("check"), F.col("exact_duplicates").alias("n"),
+        F.lit("exact_duplicates").alias("check_name"), F.col("exact_duplicates").alias("n"),
         total_rows(df).scalar().alias("total"))
     report = counts.unionByName(copies)
-    return report.select("check", "n", pct(F.col("n"), F.col("total")).alias("pct"))
+    return report.select("check_name", "n", pct(F.col("n"), F.col("total")).alias("pct"))
 
 
 def before_after(raw: DataFrame, clean: DataFrame) -> DataFrame:
@@ -91,9 +91,9 @@ def before_after(raw: DataFrame, clean: DataFrame) -> DataFrame:
         extra = {"columns": F.lit(len(data_columns(df))).cast("long")}
         if "is_near_duplicate" in df.columns:
             extra["near_duplicates_flagged"] = F.count_if(F.col("is_near_duplicate"))
-        more = _named_counts(df, extra).select("check", "n")
-        return audit_report(df).select("check", "n").unionByName(more).withColumnRenamed("n", side)
-    return summary(raw, "n_before").join(summary(clean, "n_after"), "check", "full_outer")
+        more = _named_counts(df, extra).select("check_name", "n")
+        return audit_report(df).select("check_name", "n").unionByName(more).withColumnRenamed("n", side)
+    return summary(raw, "n_before").join(summary(clean, "n_after"), "check_name", "full_outer")
 
 
 def missing_table(df: DataFrame) -> DataFrame:

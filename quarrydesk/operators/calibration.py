@@ -14,14 +14,19 @@ from quarrydesk.functions.quantiles import exact_quantiles
 # --- fixed values -----------------------------------------------------------
 BINS = 10
 # ----------------------------------------------------------------------------
+SOFTMAX_DIGITS = 12
 
 
 def softmax(scores: Column, field: str = "margin") -> Column:
-    """Scores with ``p`` replaced by the softmax of ``field`` over the row."""
+    """Scores with ``p`` replaced by the softmax of ``field`` over the row.
+
+    Rounded to 12 digits: rows with the same margins in another order must tie,
+    because quantile bins depend on ties.
+    """
     top = F.array_max(F.transform(scores, lambda s: s[field]))
     total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s[field] - top))
     return F.transform(scores, lambda s: F.struct(
-        s["label"].alias("label"), (F.exp(s[field] - top) / total).alias("p"), s["margin"].alias("margin")))
+        s["label"].alias("label"), F.round(F.exp(s[field] - top) / total, SOFTMAX_DIGITS).alias("p"), s["margin"].alias("margin")))
 
 
 def raw_softmax(df: DataFrame) -> DataFrame:
@@ -34,9 +39,9 @@ def long_scores(df: DataFrame, truth: str = "truth") -> DataFrame:
         "label", (F.col("_truth") == F.col("label")).cast("double").alias("hit"), "p")
 
 
-def brier(long: DataFrame) -> DataFrame:
+def brier(long: DataFrame, by: tuple[str, ...] = ("label",)) -> DataFrame:
     """Mean squared gap between hit and probability, per class."""
-    return long.groupBy("label").agg(F.avg(F.pow(F.col("hit") - F.col("p"), 2)).alias("brier"))
+    return long.groupBy(*by).agg(F.avg(F.pow(F.col("hit") - F.col("p"), 2)).alias("brier"))
 
 
 def quantile_bins(long: DataFrame, bins: int = BINS) -> DataFrame:
@@ -56,16 +61,16 @@ def uniform_bins(long: DataFrame, bins: int = BINS) -> DataFrame:
     return long.withColumn("bin", below)
 
 
-def reliability_curve(binned: DataFrame) -> DataFrame:
+def reliability_curve(binned: DataFrame, by: tuple[str, ...] = ("label",)) -> DataFrame:
     """Fraction of positives and mean prediction of each non-empty bin."""
-    return binned.groupBy("label", "bin").agg(F.avg("hit").alias("fraction_positive"), F.avg("p").alias("mean_predicted"),
+    return binned.groupBy(*by, "bin").agg(F.avg("hit").alias("fraction_positive"), F.avg("p").alias("mean_predicted"),
                                               F.count("*").alias("n"))
 
 
-def adaptive_error(curve: DataFrame) -> DataFrame:
+def adaptive_error(curve: DataFrame, by: tuple[str, ...] = ("label",)) -> DataFrame:
     """Unweighted mean gap over non-empty bins, per class."""
     gap = F.abs(F.col("fraction_positive") - F.col("mean_predicted"))
-    return curve.groupBy("label").agg(F.avg(gap).alias("ece"))
+    return curve.groupBy(*by).agg(F.avg(gap).alias("ece"))
 
 
 def calibration_by_class(long: DataFrame, bins: int = BINS) -> DataFrame:
@@ -121,10 +126,8 @@ def drift(by_window: DataFrame, fitted: DataFrame, bins: int = BINS) -> DataFram
 
     ``by_window``: (window_start, label, hit, p); ``fitted``: (label, hit, p).
     """
-    keyed = by_window.withColumn("label", F.concat_ws("|", F.col("window_start").cast("string"), "label"))
-    scored = brier(keyed).join(adaptive_error(reliability_curve(uniform_bins(keyed, bins))), "label")
-    parts = F.split("label", r"\|")
-    live = scored.select(parts[0].alias("window_start"), parts[1].alias("label"), "brier", "ece")
+    by = ("window_start", "label")
+    live = brier(by_window, by).join(adaptive_error(reliability_curve(uniform_bins(by_window, bins), by), by), list(by))
     base = brier(fitted).join(adaptive_error(reliability_curve(uniform_bins(fitted, bins))), "label").select(
         "label", F.col("brier").alias("fit_brier"), F.col("ece").alias("fit_ece"))
     return live.join(base, "label").select(

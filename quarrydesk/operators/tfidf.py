@@ -29,9 +29,18 @@ def distinct_texts(df: DataFrame, text: str = "ticket_text", id_col: str = ROW_S
               .agg(F.min(id_col).alias("doc"), F.count("*").alias("copies")))
 
 
+def by_document(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash layout over all shuffle partitions.
+
+    The number is explicit because terms take many times the bytes of the text
+    they come from: sizing partitions by the text would leave too few tasks.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def term_counts(texts: DataFrame) -> DataFrame:
     """(doc, copies, term, tf) for texts with columns ``doc, copies, text``."""
-    laid_out = texts.repartition("doc").withColumn("_tokens", tokens(F.col("text")))
+    laid_out = by_document(texts, "doc").withColumn("_tokens", tokens(F.col("text")))
     exploded = laid_out.select("doc", "copies", F.explode(terms(F.col("_tokens"))).alias("term"))
     return exploded.groupBy("doc", "copies", "term").agg(F.count("*").alias("tf"))
 
@@ -103,7 +112,7 @@ def pair_similarity(pairs: DataFrame, ids: list[str], left: str, right: str) ->
         found = terms(F.col(column))
         return F.transform(found, lambda t: F.struct(t.alias("term"), F.lit(side).alias("side")))
 
-    laid_out = (pairs.repartition(*ids).withColumn("_a", tokens(F.col(left), accents=False))
+    laid_out = (by_document(pairs, *ids).withColumn("_a", tokens(F.col(left), accents=False))
                      .withColumn("_b", tokens(F.col(right), accents=False)))
     counted = (laid_out.select(*ids, F.inline(F.concat(sided("_a", 0), sided("_b", 1))))
                        .groupBy(*ids, "term")
