@@ -527,4 +527,12 @@ ORACLES: dict[str, str] = {
           || 'Key Contributing Words & Signals:' || coalesce(chr(10) || body, '') AS explanation
         FROM chosen_class LEFT JOIN lines USING (row_seq)""",
     "chart_labels": f"""WITH {TRAIN_FIT} SELECT term, CASE WHEN length(term) > 20 THEN substr(term, 1, 18) || '...' ELSE term END AS chart_label FROM vocabulary""",
+    "streaming_volume": f"""WITH {STAGED} SELECT strftime(date_trunc('day', created_at), '%Y-%m-%d %H:%M:%S') AS window_start, product, count(*) AS n
+        FROM staged GROUP BY ALL""",
+    "streaming_resubmissions": f"""WITH {STAGED}, rowwise AS (
+        SELECT * REPLACE (greatest(coalesce(previous_tickets, 0.0), 0.0) AS previous_tickets, {CAPPED} AS resolution_time) FROM staged),
+        forms AS (SELECT DISTINCT {KEYS} FROM rowwise)
+        SELECT customer_id, product, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, priority, category, length(ticket_text) AS chars FROM forms""",
+    "streaming_index": f"""WITH {STAGED} SELECT ticket_id, product, category, priority, 64 AS dim FROM staged
+        WHERE ticket_id NOT IN (SELECT concat('V-', cast(vec_id AS string)) FROM embeddings)""",
 }

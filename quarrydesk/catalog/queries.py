@@ -9,12 +9,15 @@ from pyspark.sql import functions as F
 
 from quarrydesk.catalog import derived as D
 from quarrydesk.functions import numeric, ranking, text
-from quarrydesk.operators import (audit, calibration, cleaning, dedupe, explain, features, metrics, neardup, reports,
-                                  retrieval, routing, splits)
+from quarrydesk.functions.encoders import load_hashing_encoder
+from quarrydesk.operators import (audit, calibration, cleaning, dedupe, explain, features, metrics, models, neardup,
+                                  reports, retrieval, routing, splits)
 from quarrydesk.operators import tfidf as tf
+from quarrydesk.plans import training, triage
 from quarrydesk.schema import ROW_SEQ
 from quarrydesk.session import scratch_path
 from quarrydesk.sources import metrics_store, tables, tickets
+from quarrydesk.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -643,3 +646,174 @@ def explanation_texts(spark, sf):
 @query
 def chart_labels(spark, sf):
     return D.train_vocabulary(spark, sf).select("term", explain.chart_label(F.col("term")).alias("chart_label"))
+
+
+# --- models (no SQL: trained) -----------------------------------------------
+# Iterations and trees are kept small here; the defaults are the full settings.
+
+_TRAINED: dict[str, object] = {}
+
+
+def _once(spark, sf, name, build):
+    key = f"{spark.sparkContext.applicationId}|{sf}|{name}"
+    if key not in _TRAINED:
+        _TRAINED[key] = build()
+    return _TRAINED[key]
+
+
+def _logistic(spark, sf):
+    return _once(spark, sf, "lr", lambda: training.train_category_model(D.customer_split(spark, sf), "lr", iterations=50))
+
+
+def _svm(spark, sf):
+    return _once(spark, sf, "svm", lambda: training.train_category_model(D.customer_split(spark, sf), "svm", iterations=10))
+
+
+def _forest(spark, sf):
+    return _once(spark, sf, "forest", lambda: training.train_priority_model(D.customer_split(spark, sf), "forest", components=20, trees=20, depth=8))
+
+
+def _boosted(spark, sf):
+    return _once(spark, sf, "boosted", lambda: training.train_priority_model(D.customer_split(spark, sf), "boosted", components=20, trees=5))
+
+
+def _predictions(trained):
+    return trained.predictions.select(ROW_SEQ, "label", "prediction", F.round("confidence", 3).alias("confidence"))
+
+
+@query
+def category_logistic(spark, sf):
+    return _predictions(_logistic(spark, sf))
+
+
+@query
+def category_calibrated_svm(spark, sf):
+    return _predictions(_svm(spark, sf))
+
+
+@query
+def category_model_comparison(spark, sf):
+    return training.compare_models(_svm(spark, sf), _logistic(spark, sf), "svm").drop("seconds")
+
+
+@query
+def priority_forest(spark, sf):
+    return _predictions(_forest(spark, sf))
+
+
+@query
+def priority_boosted(spark, sf):
+    return _predictions(_boosted(spark, sf))
+
+
+@query
+def priority_model_comparison(spark, sf):
+    return training.compare_models(_boosted(spark, sf), _forest(spark, sf), "boosted").drop("seconds")
+
+
+@query
+def leakage_experiment(spark, sf):
+    return training.leakage_experiment(_clean(spark, sf), iterations=15)
+
+
+@query
+def split_comparison(spark, sf):
+    return training.compare_splits(_clean(spark, sf), "priority", iterations=15)
+
+
+@query
+def stored_category_model(spark, sf):
+    trained, path = _svm(spark, sf), scratch_path(spark, "model")
+    models.save_linear(trained.model, f"{path}/linear")
+    trained.space.save(f"{path}/space")
+    space, model = features.load_space(spark, f"{path}/space"), models.load_linear(spark, f"{path}/linear")
+    test = splits.test_rows(D.customer_split(spark, sf))
+    scored = models.score_linear(space.transform(test).select(ROW_SEQ, "entries"), model, [ROW_SEQ])
+    return routing.with_prediction(scored).select(ROW_SEQ, "prediction", F.round("confidence", 3).alias("confidence"))
+
+
+@query
+def stored_priority_model(spark, sf):
+    trained, path = _forest(spark, sf), scratch_path(spark, "forest")
+    trained.model.write().overwrite().save(path)
+    loaded = type(trained.model).load(path)
+    return spark.createDataFrame([(loaded.getNumTrees, loaded.numFeatures, loaded.numClasses)], "trees int, features int, classes int")
+
+
+@query
+def model_explanations(spark, sf):
+    trained = _svm(spark, sf)
+    test = splits.test_rows(D.customer_split(spark, sf))
+    return triage.categorise(test, trained, 10).select(
+        ROW_SEQ, "category", "category_confidence", F.size("explanation").alias("n_features"))
+
+
+@query
+def model_calibration(spark, sf):
+    scored = _svm(spark, sf).predictions.select(ROW_SEQ, F.col("label").alias("truth"), "scores")
+    return calibration.calibration_report(calibration.long_scores(scored), calibration.long_scores(calibration.raw_softmax(scored)))
+
+
+# --- triage and streams -----------------------------------------------------
+
+def _tickets_with_vectors(spark, sf):
+    vectors = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias(ROW_SEQ), "embedding")
+    return splits.test_rows(D.customer_split(spark, sf)).join(vectors, ROW_SEQ, "left")
+
+
+@query
+def batch_triage(spark, sf):
+    desk = triage.Desk(_svm(spark, sf), _forest(spark, sf), D.index(spark, sf))
+    return triage.triage(_tickets_with_vectors(spark, sf), desk).select(
+        ROW_SEQ, "ticket_id", "category", "category_confidence", "uncertain", "priority", "priority_confidence",
+        F.to_json("explanation").alias("explanation"), F.to_json("similar_tickets").alias("similar_tickets"), "queue", "sla", "calibrated_note")
+
+
+@query
+def encoded_texts(spark, sf):
+    encoded = retrieval.encode_texts(_clean(spark, sf).select("ticket_id", "ticket_text"), load_hashing_encoder)
+    return encoded.select("ticket_id", F.size("embedding").alias("dim"),
+                          F.round(numeric.dot(F.col("embedding"), F.col("embedding")), 6).alias("squared_norm"))
+
+
+def _stream_of_raw(spark, sf, files=4):
+    """Raw tickets as files in arrival order, read back as a stream."""
+    raw, path = _raw(spark, sf), scratch_path(spark, "stream_in")
+    raw.repartitionByRange(files, ROW_SEQ).write.parquet(path)
+    return jobs.ticket_stream(spark, path, raw.schema, files_per_batch=1)
+
+
+# Arrival order is id order, not time order: the delay has to span the table.
+WHOLE_TABLE_DELAY = "3650 days"
+
+
+@query
+def streaming_volume(spark, sf):
+    target = scratch_path(spark, "stream_volume")
+    counts = jobs.volume_windows(jobs.clean_stream(_stream_of_raw(spark, sf)), ["product"], WHOLE_TABLE_DELAY)
+    jobs.append_batches(counts, target, mode="update").awaitTermination()
+    final = jobs.latest_counts(spark, target, ["window_start", "product"])
+    return final.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
+
+
+@query
+def streaming_resubmissions(spark, sf):
+    target = scratch_path(spark, "stream_forms")
+    unique = jobs.drop_resubmissions(jobs.clean_stream(_stream_of_raw(spark, sf)), WHOLE_TABLE_DELAY)
+    jobs.append_batches(unique, target).awaitTermination()
+    return _shown_time(spark.read.parquet(target)).select(
+        "customer_id", "product", "created_at", "priority", "category", F.length("ticket_text").cast("long").alias("chars"))
+
+
+@query
+def streaming_index(spark, sf):
+    target = scratch_path(spark, "stream_index")
+    jobs.index_stream(jobs.clean_stream(_stream_of_raw(spark, sf)), target, D.index(spark, sf), load_hashing_encoder).awaitTermination()
+    return spark.read.parquet(target).select("ticket_id", "product", "category", "priority", F.size("embedding").cast("long").alias("dim"))
+
+
+@query
+def streaming_triage(spark, sf):
+    trained, target = _svm(spark, sf), scratch_path(spark, "stream_triage")
+    jobs.append_batches(jobs.clean_stream(_stream_of_raw(spark, sf)), target, lambda batch: triage.categorise(batch, trained)).awaitTermination()
+    return spark.read.parquet(target).select(ROW_SEQ, "category", F.round("category_confidence", 3).alias("category_confidence"), "uncertain")

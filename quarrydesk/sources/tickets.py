@@ -39,7 +39,9 @@ def write_tickets(df: DataFrame, path: str, fmt: str = "parquet", partition_by:
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if fmt == "csv":
-        writer.option("header", True).option("escape", '"').csv(path)
+        # Text must come back unchanged, edge white space included.
+        (writer.option("header", True).option("escape", '"').option("ignoreLeadingWhiteSpace", False)
+         .option("ignoreTrailingWhiteSpace", False).csv(path))
     else:
         writer.format(fmt).save(path)
 
