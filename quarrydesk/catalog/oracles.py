@@ -294,7 +294,7 @@ SELECT sc.same_customer, (
 FROM (SELECT true AS same_customer UNION ALL SELECT false) sc"""
 
 ORACLES: dict[str, str] = {
-    "csv_source": f"WITH {RAW} SELECT * EXCLUDE (row_seq) FROM tickets_raw",
+    "csv_source": f"WITH {RAW} SELECT * EXCLUDE (row_seq) REPLACE (nullif(created_at, '') AS created_at) FROM tickets_raw",
     "clean_table_round_trip": f"""WITH {CLEAN} SELECT strftime(created_at, '%Y-%m') AS created_month, count(*) AS n,
         cast(sum(length(ticket_text)) AS bigint) AS chars, round(sum(resolution_time), 4) AS hours FROM tickets_clean GROUP BY 1""",
     "stored_vocabulary": f"WITH {TRAIN_FIT} SELECT term, idx, df, round(idf, 6) AS idf FROM vocabulary",

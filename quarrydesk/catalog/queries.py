@@ -776,7 +776,7 @@ def encoded_texts(spark, sf):
                           F.round(numeric.dot(F.col("embedding"), F.col("embedding")), 6).alias("squared_norm"))
 
 
-def _stream_of_raw(spark, sf, files=4):
+def _stream_of_raw(spark, sf, files=2):
     """Raw tickets as files in arrival order, read back as a stream."""
     raw, path = _raw(spark, sf), scratch_path(spark, "stream_in")
     raw.repartitionByRange(files, ROW_SEQ).write.parquet(path)

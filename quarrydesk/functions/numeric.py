@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -26,11 +28,18 @@ def dot(left: Column, right: Column) -> Column:
     return F.aggregate(products, F.lit(0.0), lambda acc, x: acc + x)
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` evaluated once per row.
+
+    An expression used inside a lambda is otherwise evaluated per element.
+    """
+    return F.transform(F.array(value), body)[0]
+
+
 def unit_vector(vector: Column) -> Column:
     """L2-normalise; an all-zero vector is returned unchanged."""
-    norm = F.sqrt(dot(vector, vector))
-    return F.when(norm == 0, F.transform(vector, lambda x: x.cast("double"))).otherwise(
-        F.transform(vector, lambda x: x.cast("double") / norm))
+    return let(F.sqrt(dot(vector, vector)), lambda norm: F.transform(
+        vector, lambda x: F.when(norm == 0, x.cast("double")).otherwise(x.cast("double") / norm)))
 
 
 def one_decimal(value: Column) -> Column:

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quarrydesk.functions.numeric import let
 from quarrydesk.functions.quantiles import exact_quantiles
 
 # --- fixed values -----------------------------------------------------------
@@ -23,10 +24,16 @@ def softmax(scores: Column, field: str = "margin") -> Column:
     Rounded to 12 digits: rows with the same margins in another order must tie,
     because quantile bins depend on ties.
     """
-    top = F.array_max(F.transform(scores, lambda s: s[field]))
-    total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s[field] - top))
-    return F.transform(scores, lambda s: F.struct(
-        s["label"].alias("label"), F.round(F.exp(s[field] - top) / total, SOFTMAX_DIGITS).alias("p"), s["margin"].alias("margin")))
+    def normalise(scores: Column, top: Column, total: Column) -> Column:
+        return F.transform(scores, lambda s: F.struct(
+            s["label"].alias("label"), F.round(F.exp(s[field] - top) / total, SOFTMAX_DIGITS).alias("p"),
+            s["margin"].alias("margin")))
+
+    def shifted(scores: Column, top: Column) -> Column:
+        total = F.aggregate(scores, F.lit(0.0), lambda acc, s: acc + F.exp(s[field] - top))
+        return let(total, lambda t: normalise(scores, top, t))
+
+    return let(scores, lambda row: let(F.array_max(F.transform(row, lambda s: s[field])), lambda top: shifted(row, top)))
 
 
 def raw_softmax(df: DataFrame) -> DataFrame:
@@ -92,10 +99,10 @@ def calibration_report(calibrated: DataFrame, raw: DataFrame | None = None, bins
             "label", F.col("brier").alias("raw_brier"), F.col("ece").alias("raw_ece"))
         report = report.join(other, "label")
         names += ["raw_brier", "raw_ece"]
-    mean = report.agg(F.lit("(mean)").alias("label"), *[F.avg(n).alias(n) for n in names])
-    both = report.unionByName(mean).select("label", *[F.round(n, 6).alias(n) for n in names],
-                                           *([] if raw is None else [_reduction()]))
-    return both
+    # One row per class: the mean over a class is its own value, the rollup total is the macro mean.
+    both = report.rollup("label").agg(*[F.avg(n).alias(n) for n in names])
+    both = both.withColumn("label", F.coalesce("label", F.lit("(mean)")))
+    return both.select("label", *[F.round(n, 6).alias(n) for n in names], *([] if raw is None else [_reduction()]))
 
 
 def _reduction() -> Column:

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from quarrydesk.functions.numeric import nan_to_null
 from quarrydesk.schema import RAW_TICKET
+from quarrydesk.session import write_out
 
 CORRUPT = "_corrupt_record"
 
@@ -16,7 +17,7 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
     """Header CSV under the declared schema; a missing path raises.
 
     Malformed lines are kept in ``_corrupt_record`` instead of failing the job.
-    NaN becomes NULL, so that both kinds of missing behave alike.
+    Empty fields, quoted or not, and NaN are NULL: all kinds of missing behave alike.
     """
     schema = T.StructType([*RAW_TICKET.fields, T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
@@ -27,10 +28,13 @@ def read_raw_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(well-formed rows, corrupt lines) of ``read_raw_csv``."""
-    good = raw.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    bad = raw.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
-    return good, bad
+    """(well-formed rows, corrupt lines) of ``read_raw_csv``.
+
+    The CSV is parsed once into the shared folder; both halves scan that table.
+    """
+    parsed = write_out(raw, "parsed_csv")
+    good = parsed.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    return good, parsed.filter(F.col(CORRUPT).isNotNull()).select(CORRUPT)
 
 
 def write_tickets(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None) -> None:
