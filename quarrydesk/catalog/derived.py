@@ -34,8 +34,9 @@ def ticket_terms(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
     """(row_seq, term, x): unit TF-IDF of every ticket under a fitted vocabulary."""
     rows = df.select(F.col(ROW_SEQ).alias("doc"), F.lit(1).cast("long").alias("copies"),
                      F.coalesce("ticket_text", F.lit("")).alias("text"))
-    weighted = tf.normalised_terms(tf.weighted_terms(tf.term_counts(rows), vocabulary))
-    return weighted.select(F.col("doc").alias(ROW_SEQ), "term", F.col("weight").alias("x"))
+    weighted = tf.normalised_terms(tf.weighted_terms(rows, vocabulary))
+    named = weighted.join(F.broadcast(vocabulary.select("idx", "term")), "idx")      # at most MAX_FEATURES rows
+    return named.select(F.col("doc").alias(ROW_SEQ), "term", F.col("weight").alias("x"))
 
 
 def near_duplicates(spark: SparkSession, sf: str) -> neardup.NearDuplicates:

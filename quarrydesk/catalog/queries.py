@@ -815,5 +815,5 @@ def streaming_index(spark, sf):
 @query
 def streaming_triage(spark, sf):
     trained, target = _svm(spark, sf), scratch_path(spark, "stream_triage")
-    jobs.append_batches(jobs.clean_stream(_stream_of_raw(spark, sf)), target, lambda batch: triage.categorise(batch, trained)).awaitTermination()
+    jobs.append_batches(jobs.clean_stream(_stream_of_raw(spark, sf)), target, lambda batch, _: triage.categorise(batch, trained)).awaitTermination()
     return spark.read.parquet(target).select(ROW_SEQ, "category", F.round("category_confidence", 3).alias("category_confidence"), "uncertain")

@@ -106,7 +106,7 @@ class FeatureSpace:
         """(key, text_vector array<struct<idx, x>>) for rows with a known term."""
         rows = df.select(F.col(key).alias("doc"), F.lit(1).cast("long").alias("copies"),
                          F.coalesce("ticket_text", F.lit("")).alias("text"))
-        weighted = tf.weighted_terms(tf.term_counts(rows), self.vocabulary, self.max_features)
+        weighted = tf.weighted_terms(rows, self.vocabulary, self.max_features)
         return tf.unit_vectors(weighted).select(F.col("doc").alias(key), F.transform(
             "vector", lambda e: F.struct(e["idx"].cast("int").alias("idx"), e["w"].alias("x"))).alias("text_vector"))
 

@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 from functools import reduce
-from math import exp, log
+from math import log
 from multiprocessing.pool import ThreadPool
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,6 +21,7 @@ from pyspark.sql import functions as F
 from quarrydesk.operators import splits
 from quarrydesk.operators.tfidf import bounded_broadcast
 from quarrydesk.schema import ROW_SEQ
+from quarrydesk.session import write_out
 
 # --- fixed values -----------------------------------------------------------
 C = 1.0
@@ -60,10 +63,14 @@ def labelled(df: DataFrame, label: str, labels: tuple[str, ...], weights: dict[s
     return df.withColumns({"label_code": code, "weight": weight})
 
 
-def weight_rows(spark: SparkSession, fold: int, label: str, vector) -> DataFrame:
-    """(fold, label, idx, w) of one coefficient vector."""
-    rows = [(fold, label, i, float(w)) for i, w in enumerate(vector.toArray()) if w != 0]
-    return spark.createDataFrame(rows, "fold int, label string, idx int, w double")
+def weight_table(spark: SparkSession, cells: dict[tuple[int, str], np.ndarray]) -> DataFrame:
+    """(fold, label, idx, w) of the non-zero coefficients, as a stored table."""
+    parts = []
+    for (fold, label), values in cells.items():
+        idx = np.flatnonzero(values).astype("int32")
+        parts.append(pa.table({"fold": pa.array(np.full(len(idx), fold, dtype="int32")), "label": pa.array([label] * len(idx), pa.string()),
+                               "idx": pa.array(idx), "w": pa.array(values[idx].astype("float64"))}))
+    return write_out(spark.createDataFrame(pa.concat_tables(parts)), "linear_weights")
 
 
 def fit_logistic(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations: int = LR_ITERATIONS) -> LinearModel:
@@ -71,22 +78,18 @@ def fit_logistic(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations:
     estimator = LogisticRegression(featuresCol="features", labelCol="label_code", weightCol="weight", family="multinomial",
                                    regParam=1.0 / (C * rows), elasticNetParam=0.0, standardization=False, maxIter=iterations)
     model = estimator.fit(ml)
-    spark, matrix = ml.sparkSession, model.coefficientMatrix.toArray()
-    from pyspark.ml.linalg import Vectors
-    parts = [weight_rows(spark, 0, name, Vectors.dense(matrix[i])) for i, name in enumerate(labels)]
-    bias = {(0, name): float(model.interceptVector[i]) for i, name in enumerate(labels)}
-    return LinearModel(reduce(DataFrame.unionByName, parts), labels, bias, "softmax")
+    matrix = model.coefficientMatrix.toArray()
+    weights = weight_table(ml.sparkSession, {(0, name): matrix[i] for i, name in enumerate(labels)})
+    return LinearModel(weights, labels, {(0, name): float(model.interceptVector[i]) for i, name in enumerate(labels)}, "softmax")
 
 
-def _fit_margins(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations: int, fold: int) -> LinearModel:
+def _fit_margins(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations: int) -> list[tuple[np.ndarray, float]]:
+    """Coefficients and intercept of one linear SVM per class."""
     base = LinearSVC(featuresCol="features", labelCol="label_code", weightCol="weight", regParam=1.0 / (C * rows),
                      standardization=False, maxIter=iterations)
     ovr = OneVsRest(classifier=base, featuresCol="features", labelCol="label_code", weightCol="weight",
                     parallelism=len(labels))
-    fitted = ovr.fit(ml).models
-    parts = [weight_rows(ml.sparkSession, fold, name, m.coefficients) for name, m in zip(labels, fitted)]
-    bias = {(fold, name): float(m.intercept) for name, m in zip(labels, fitted)}
-    return LinearModel(reduce(DataFrame.unionByName, parts), labels, bias, "margin")
+    return [(m.coefficients.toArray(), float(m.intercept)) for m in ovr.fit(ml).models]
 
 
 def margins(entries: DataFrame, model: LinearModel, keys: list[str]) -> DataFrame:
@@ -152,20 +155,20 @@ def fit_calibrated_svm(train: DataFrame, ml: DataFrame, labels: tuple[str, ...],
 
     ``ml`` and ``train`` carry ``fold``; folds are fitted side by side.
     """
-    def one(fold: int) -> LinearModel:
-        return _fit_margins(ml.filter(F.col("fold") != fold), labels, rows - rows // folds, iterations, fold)
+    def one(fold: int) -> list[tuple[np.ndarray, float]]:
+        return _fit_margins(ml.filter(F.col("fold") != fold), labels, rows - rows // folds, iterations)
 
     with ThreadPool(folds) as pool:
         fitted = pool.map(one, range(folds))
-    weights = reduce(DataFrame.unionByName, [m.weights for m in fitted])
-    bias = {cell: b for m in fitted for cell, b in m.bias.items()}
+    cells = {(f, name): fitted[f][i] for f in range(folds) for i, name in enumerate(labels)}
+    weights = weight_table(ml.sparkSession, {cell: w for cell, (w, _) in cells.items()})
+    bias = {cell: b for cell, (_, b) in cells.items()}
     base = LinearModel(weights, labels, bias, "margin", folds)
     scored = margins(train, base, [ROW_SEQ, "fold", label])
     own = F.element_at("fold_margins", F.col("fold") + 1)
     held = scored.select("fold", F.col(label).alias("_truth"), F.posexplode(own).alias("_i", "margin")).select(
         "fold", F.element_at(F.array(*[F.lit(n) for n in labels]), F.col("_i") + 1).alias("label"), "_truth", "margin")
     held = held.withColumn("hit", (F.col("_truth") == F.col("label")).cast("int")).drop("_truth")
-    from quarrydesk.session import write_out
     held = write_out(held, "held_out_margins")
     sigmoids = fit_platt(held, [(f, n) for f in range(folds) for n in labels])
     return LinearModel(weights, labels, bias, "platt", folds, sigmoids)
@@ -268,8 +271,8 @@ def fit_projection(text_ml: DataFrame, components: int = COMPONENTS) -> Projecti
     matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(text_ml.select("features"), "features"))
     matrix.rows.cache()
     basis = matrix.computeSVD(components, computeU=False).V.toArray()
-    rows = [(i, [float(x) for x in row]) for i, row in enumerate(basis)]
-    return Projection(spark.createDataFrame(rows, "idx int, v array<double>"), basis.shape[1])
+    table = pa.table({"idx": pa.array(range(len(basis)), pa.int32()), "v": pa.array(basis.tolist(), pa.list_(pa.float64()))})
+    return Projection(write_out(spark.createDataFrame(table), "projection"), basis.shape[1])
 
 
 def project(entries: DataFrame, projection: Projection, text_size: int, keys: list[str]) -> DataFrame:

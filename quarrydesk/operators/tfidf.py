@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from quarrydesk.functions.text import terms, tokens
 from quarrydesk.schema import ROW_SEQ
+from quarrydesk.session import write_out
 
 # --- fixed values -----------------------------------------------------------
 MAX_FEATURES = 15_000
@@ -38,11 +39,26 @@ def by_document(df: DataFrame, *keys: str) -> DataFrame:
     return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
+def _occurrences(texts: DataFrame) -> DataFrame:
+    """(doc, copies, term): one row per term occurrence, laid out by document."""
+    laid_out = by_document(texts, "doc").withColumn("_tokens", tokens(F.col("text")))
+    return laid_out.select("doc", "copies", F.explode(terms(F.col("_tokens"))).alias("term"))
+
+
 def term_counts(texts: DataFrame) -> DataFrame:
     """(doc, copies, term, tf) for texts with columns ``doc, copies, text``."""
-    laid_out = by_document(texts, "doc").withColumn("_tokens", tokens(F.col("text")))
-    exploded = laid_out.select("doc", "copies", F.explode(terms(F.col("_tokens"))).alias("term"))
-    return exploded.groupBy("doc", "copies", "term").agg(F.count("*").alias("tf"))
+    return _occurrences(texts).groupBy("doc", "copies", "term").agg(F.count("*").alias("tf"))
+
+
+def known_term_counts(texts: DataFrame, vocabulary: DataFrame, max_features: int) -> DataFrame:
+    """(doc, copies, <numeric vocabulary columns>, tf), terms outside the vocabulary left out.
+
+    Occurrences meet the vocabulary before they are counted: most n-grams drop
+    out there, and the rest are counted by number instead of by text.
+    """
+    numbers = [c for c in vocabulary.columns if c != "term"]
+    known = _occurrences(texts).join(bounded_broadcast(vocabulary, max_features), "term")
+    return known.groupBy("doc", "copies", *numbers).agg(F.count("*").alias("tf"))
 
 
 def document_total(texts: DataFrame) -> Column:
@@ -71,10 +87,10 @@ def bounded_broadcast(vocabulary: DataFrame, max_features: int) -> DataFrame:
     return F.broadcast(vocabulary) if max_features <= BROADCAST_ROWS else vocabulary
 
 
-def weighted_terms(counts: DataFrame, vocabulary: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
-    """(doc, copies, term, idx, tf, raw): sublinear tf times idf, not yet normalised."""
-    known = counts.join(bounded_broadcast(vocabulary.select("term", "idx", "idf"), max_features), "term")
-    return known.select("doc", "copies", "term", "idx", "tf", ((F.log("tf") + 1) * F.col("idf")).alias("raw"))
+def weighted_terms(texts: DataFrame, vocabulary: DataFrame, max_features: int = MAX_FEATURES) -> DataFrame:
+    """(doc, copies, idx, tf, raw): sublinear tf times idf, not yet normalised."""
+    counts = known_term_counts(texts, vocabulary.select("term", "idx", "idf"), max_features)
+    return counts.select("doc", "copies", "idx", "tf", ((F.log("tf") + 1) * F.col("idf")).alias("raw"))
 
 
 def unit_vectors(weighted: DataFrame) -> DataFrame:
@@ -87,18 +103,18 @@ def unit_vectors(weighted: DataFrame) -> DataFrame:
 
 
 def normalised_terms(weighted: DataFrame) -> DataFrame:
-    """(doc, copies, term, weight) with unit length per document."""
+    """(doc, copies, idx, weight) with unit length per document."""
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(W.partitionBy("doc")))
-    return weighted.select("doc", "copies", "term", (F.col("raw") / norm).alias("weight"))
+    return weighted.select("doc", "copies", "idx", (F.col("raw") / norm).alias("weight"))
 
 
 def tfidf(df: DataFrame, max_features: int = MAX_FEATURES, min_df: int = MIN_DF, text: str = "ticket_text",
           id_col: str = ROW_SEQ) -> tuple[DataFrame, DataFrame]:
     """Fit on ``df``: (vocabulary, weighted terms of its distinct texts)."""
     texts = distinct_texts(df, text, id_col)
-    counts = term_counts(texts)
-    vocabulary = fit_vocabulary(counts, document_total(texts), max_features, min_df)
-    return vocabulary, weighted_terms(counts, vocabulary, max_features)
+    vocabulary = fit_vocabulary(term_counts(texts), document_total(texts), max_features, min_df)
+    vocabulary = write_out(vocabulary, "vocabulary")
+    return vocabulary, weighted_terms(texts, vocabulary, max_features)
 
 
 def pair_similarity(pairs: DataFrame, ids: list[str], left: str, right: str) -> DataFrame:

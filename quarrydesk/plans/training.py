@@ -14,7 +14,7 @@ from quarrydesk.operators.tfidf import MAX_FEATURES, MAX_FEATURES_SIMILARITY
 from quarrydesk.schema import MODEL_INPUT, NUMERIC_FEATURES, POST_OUTCOME_FEATURES, ROW_SEQ
 from quarrydesk.session import write_out
 
-ROWS_PER_PARTITION = 50_000
+ROWS_PER_PARTITION = 2_000
 
 
 @dataclass(frozen=True)

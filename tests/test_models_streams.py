@@ -4,6 +4,7 @@ from pyspark.sql import functions as F
 
 from quarrydesk.catalog import derived as D
 from quarrydesk.catalog import queries as Q
+from quarrydesk.functions.encoders import load_hashing_encoder
 from quarrydesk.operators import features, models, splits
 from quarrydesk.plans import training, triage
 from quarrydesk.schema import ROW_SEQ
@@ -55,3 +56,14 @@ def test_sliding_windows_count_each_ticket_in_every_window(spark, sf_dir, tmp_pa
     final = jobs.latest_counts(spark, str(tmp_path / "w"), ["window_start", "category"])
     rows = jobs.clean_stream(tables.raw_tickets(spark, sf_dir)).count()
     assert final.agg(F.sum("n")).first()[0] == 2 * rows
+
+
+def test_index_stream_appends_a_ticket_once(spark, sf_dir, tmp_path):
+    raw = tables.raw_tickets(spark, sf_dir)
+    source = str(tmp_path / "in")
+    for _ in range(2):                                       # the same tickets arrive twice
+        raw.coalesce(1).write.mode("append").parquet(source)
+    stream = jobs.clean_stream(jobs.ticket_stream(spark, source, raw.schema, files_per_batch=1))
+    jobs.index_stream(stream, str(tmp_path / "out"), D.index(spark, sf_dir), load_hashing_encoder).awaitTermination()
+    got = spark.read.parquet(str(tmp_path / "out"))
+    assert got.count() == got.select("ticket_id").distinct().count() == jobs.clean_stream(raw).select("ticket_id").distinct().count()
