@@ -437,10 +437,10 @@ ORACLES: dict[str, str] = {
         SELECT idx, 'word:' || term AS name FROM vocabulary UNION ALL
         SELECT v + i, 'cat:product_' || product FROM p, sizes UNION ALL
         SELECT v + c + k, 'num:' || f FROM sizes, (VALUES (0, 'previous_tickets'), (1, 'hour_of_day'), (2, 'day_of_week'), (3, 'month')) n(k, f)""",
-    "leakage_guard": f"""WITH {CLEAN}, c AS (SELECT unnest([{', '.join(f"'{c}'" for c in CLEAN_COLUMNS)}]) AS feature)
+    "leakage_guard": f"""WITH {CLEAN}, c AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, count({c}) AS filled FROM tickets_clean" for c in CLEAN_COLUMNS)})
         SELECT feature, CASE WHEN feature IN ('resolution_time', 'resolved') THEN 'post-outcome'
           WHEN feature IN ('ticket_text', 'product', 'previous_tickets', 'hour_of_day', 'day_of_week', 'month') THEN 'model input' ELSE 'not used' END AS role,
-          CASE WHEN feature IN ('resolution_time', 'resolved') THEN 'Unknown at ticket creation time' END AS reason FROM c""",
+          CASE WHEN feature IN ('resolution_time', 'resolved') THEN 'Unknown at ticket creation time' END AS reason, filled FROM c""",
     "random_row_split": f"WITH {CLEAN}{SPLIT_RANDOM} SELECT ticket_id, split FROM split",
     "customer_disjoint_split": f"WITH {CLEAN}{SPLIT_CUSTOMER} SELECT ticket_id, customer_id, split FROM split",
     "random_split_overlap": f"WITH {CLEAN}{SPLIT_RANDOM}, {OVERLAP}",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -389,7 +390,7 @@ def feature_names(spark, sf):
 
 @query
 def leakage_guard(spark, sf):
-    return features.leakage_report(spark, _clean(spark, sf).drop(ROW_SEQ))
+    return features.leakage_report(_clean(spark, sf))
 
 
 # --- splits -----------------------------------------------------------------
@@ -736,8 +737,8 @@ def stored_category_model(spark, sf):
 def stored_priority_model(spark, sf):
     trained, path = _forest(spark, sf), scratch_path(spark, "forest")
     trained.model.write().overwrite().save(path)
-    loaded = type(trained.model).load(path)
-    return spark.createDataFrame([(loaded.getNumTrees, loaded.numFeatures, loaded.numClasses)], "trees int, features int, classes int")
+    reloaded = replace(trained, model=type(trained.model).load(path))
+    return triage.prioritise(splits.test_rows(D.customer_split(spark, sf)), reloaded)
 
 
 @query

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from quarrydesk.functions.quantiles import exact_quantiles
 from quarrydesk.operators import tfidf as tf
+from quarrydesk.operators.audit import null_counts
 from quarrydesk.schema import CATEGORICAL_FEATURE, MODEL_INPUT, NUMERIC_FEATURES, POST_OUTCOME_FEATURES, ROW_SEQ
 from quarrydesk.session import scratch_path, write_out
 
@@ -23,11 +24,16 @@ def leakage_guard(columns: list[str]) -> None:
         raise ValueError(f"post-outcome feature(s) in model input: {', '.join(leaky)}")
 
 
-def leakage_report(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """Every column of a table with its role: model input, post-outcome or unused."""
-    rows = [(c, "post-outcome" if c in POST_OUTCOME_FEATURES else "model input" if c in MODEL_INPUT else "not used",
-             POST_OUTCOME_FEATURES.get(c)) for c in df.columns]
-    return spark.createDataFrame(rows, "feature string, role string, reason string")
+def leakage_report(df: DataFrame) -> DataFrame:
+    """(feature, role, reason, filled): every column with its role and how many rows hold a value."""
+    name = F.col("column_name")
+    role = (F.when(name.isin(*POST_OUTCOME_FEATURES), "post-outcome").when(name.isin(*MODEL_INPUT), "model input")
+            .otherwise("not used"))
+    reason = F.lit(None).cast("string")
+    for feature, why in POST_OUTCOME_FEATURES.items():
+        reason = F.when(name == feature, why).otherwise(reason)
+    total = df.agg(F.count("*")).scalar()
+    return null_counts(df).select(name.alias("feature"), role.alias("role"), reason.alias("reason"), (total - F.col("n")).alias("filled"))
 
 
 def one_hot(product: Column, categories: list[str]) -> list[Column]:
