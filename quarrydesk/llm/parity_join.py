@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrydesk.llm import packed
@@ -22,12 +22,16 @@ from quarrydesk.llm.components import connected_components
 from quarrydesk.llm.words import Words, fold, mix, slices, words_of
 from quarrydesk.session import write_out
 
+#: A set that may differ in D shingles sends D / SPARE signatures more than one partner needs to meet it once; in return
+#: sets that share less than so many signatures with others are left out.
+SPARE = 5
+#: So many set ids at most are broadcast to fetch their texts; beyond that the texts are shuffled.
+BROADCAST_NODES = 2_000_000
 #: Sets of one chunk that are compared in one block.
 BLOCK = 4096
 
-_MET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.int64()),
-                  ("pivot", pa.int64())])
-_MET_DDL = "doc_id long, n_shingles long, node long, sig long, pivot long"
+_MET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.int64())])
+_MET_DDL = "doc_id long, n_shingles long, node long, sig long"
 
 
 def shingle_sets(words: Words, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -57,15 +61,16 @@ def _bands(sizes: np.ndarray, ratio: float) -> np.ndarray:
 def _chunk_signatures(grams: np.ndarray, first: np.ndarray, above: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Signatures of each set's chunks in the family of its band (``above`` 0) or the next one (1), with owners.
 
-    A family joins sets whose larger one lies in its band. A set may differ by D from a partner, so its D + 1
-    lowest signatures are enough: of the non-empty chunks at most D differ, and both ends order them alike.
-    The chunks are many enough that more than D of a set's chunks are filled (else with a chance below 1e-12).
+    A family joins sets whose larger one lies in its band. A set may differ by D from a partner, so of its filled chunks
+    at most D differ, and as both ends order them alike, of its D + k lowest signatures the partner has k (see
+    ``must_share``). The chunks are many enough that D + k of a set's are filled (else with a chance below 1e-12).
+    The lowest bit of a signature tells a set's own family from the next one.
     """
     sizes, ratio = np.diff(first), percent / 100
     family = _bands(sizes, ratio) + above
     top = np.floor((1 / ratio) ** (family + 1) + 1e-6)
     differ = np.floor((sizes + np.minimum(sizes / ratio, top)) * (1 - ratio) / (1 + ratio) + 1e-9).astype(np.int64)
-    chunks = np.where(top <= 100, 1 << 20, np.where(top <= 512, top, top / 2)).astype(np.uint64)
+    chunks = np.where(top <= 100, 1 << 20, np.where(top <= 512, top, top / 2.5)).astype(np.uint64)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     start = (family.astype(np.uint64) << np.uint64(32))[owner]
     chunk = (grams >> np.uint64(16)) % chunks[owner] + start
@@ -77,10 +82,11 @@ def _chunk_signatures(grams: np.ndarray, first: np.ndarray, above: int, percent:
     new[1:] = (chunk[1:] != chunk[:-1]) | (owner[1:] != owner[:-1])
     at = np.flatnonzero(new)
     sig, owner = mix(np.bitwise_xor.reduceat(bits, at) ^ mix(chunk[at])), owner[at]
+    sig = sig >> np.uint64(1) << np.uint64(1) | (family & 1).astype(np.uint64)[owner]
     order = np.lexsort((sig, owner))
     sig, owner = sig[order], owner[order]
     rank = np.arange(len(owner)) - np.searchsorted(owner, np.arange(len(sizes)))[owner]
-    keep = (rank <= differ[owner]) & (differ[owner] > 0)
+    keep = (rank < (differ + 1 + differ // SPARE)[owner]) & (differ[owner] > 0)
     return sig[keep], owner[keep]
 
 
@@ -106,29 +112,33 @@ def _sketcher(n: int, percent: int, parts: int):
 
 
 def _meet(table: pa.Table) -> pa.Table:
-    """The documents that came along, and each chunk signature that several sets have, with the first of these."""
+    """The documents that came along, and each chunk signature that several sets have, with these."""
     sigs, nodes, hot, docs = packed.unpack(table, 3)
     at = packed.run_starts(sigs)
     runs = np.diff(np.append(at, len(sigs)))
     many = np.repeat(runs > 1, runs)
-    # a pivot whose other sets all went past this join is still one of its chunk's sets
-    heads = np.unique(hot[[0, 2]], axis=1)
-    met = np.concatenate([np.stack([sigs.view(np.int64), nodes, np.repeat(nodes[at], runs)])[:, many],
-                          hot, heads[[0, 1, 1]]], axis=1)
-    docs = [*map(pa.array, docs[[0, 2, 1]]), *[pa.nulls(docs.shape[1], pa.int64())] * 2]
-    met = [*[pa.nulls(met.shape[1], pa.int64())] * 2, *map(pa.array, met[[1, 0, 2]])]
+    # a set whose chunk mates all went past this join is still one of the chunk's sets
+    met = np.concatenate([np.stack([nodes, sigs.view(np.int64)])[:, many], hot[[1, 0]], np.unique(hot[[2, 0]], axis=1)], axis=1)
+    docs = [*map(pa.array, docs[[0, 2, 1]]), pa.nulls(docs.shape[1], pa.int64())]
+    met = [*[pa.nulls(met.shape[1], pa.int64())] * 2, *map(pa.array, met)]
     return pa.concat_tables([pa.Table.from_arrays(x, schema=_MET) for x in (docs, met)])
 
 
+def must_share(size: Column, percent: int) -> Column:
+    """Signatures of one family that a set of this size shares with a partner, whose size is smaller by the ratio at most."""
+    ratio = percent / 100
+    return 1 + F.floor(F.floor(2 * ratio * size * ((1 - ratio) / (1 + ratio)) - 1e-9) / SPARE)
+
+
 _SETS = pa.schema([("node", pa.int64()), ("grams", pa.binary()), ("sketch", pa.binary())])
 
 
 def _sketch_bits(size: int) -> int:
-    return max(256, 1 << int(np.ceil(np.log2(max(4 * size, 1)))))
+    return max(256, 1 << int(np.ceil(np.log2(max(2 * size, 1)))))
 
 
 def parity_sketch(grams: np.ndarray) -> np.ndarray:
-    """Each shingle flips one of about 4 bits a shingle, at least 256, packed in bytes."""
+    """Each shingle flips one bit of two to four bits a shingle, at least 256, packed in bytes."""
     bits = _sketch_bits(len(grams))
     flips = np.bincount((mix(grams) % np.uint64(bits)).astype(np.int64), minlength=bits)
     return np.packbits((flips & 1).astype(np.uint8))
@@ -165,31 +175,53 @@ def _verifier(percent: int):
     return run
 
 
+def _near(sketches, a: np.ndarray, b: np.ndarray, total: np.ndarray, percent: int) -> np.ndarray:
+    """Which pairs may be linked by their sketches: Hamming distance and sizes as a bound on the common part."""
+    out = np.zeros(len(a), dtype=bool)
+    for k, (x, y) in enumerate(zip(a.tolist(), b.tolist())):
+        low = min(len(sketches[x]), len(sketches[y]))
+        apart = int(np.bitwise_count(fold_sketch(sketches[x], low) ^ fold_sketch(sketches[y], low)).sum())
+        out[k] = apart * (100 + percent) <= total[k] * (100 - percent)
+    return out
+
+
+def _sketch_filter(percent: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = batch.num_rows
+            both = [np.frombuffer(x.as_buffer(), np.uint8) for c in (2, 3) for x in batch.column(c)]
+            near = _near(both, np.arange(n), np.arange(n) + n, batch.column(4).to_numpy(), percent)
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(near))
+    return run
+
+
 def _compare_blocks(percent: int):
     """Pairs of one unit (a chunk, or two blocks of it) with other components and sketches close enough."""
-    def run(table: pa.Table) -> pa.Table:
-        size, comp, node, side = (table.column(c).to_numpy() for c in ("size", "component", "node", "side"))
-        unit, split = table.column("unit").to_numpy(), table.column("split").to_numpy()
-        sketches = table.column("sketch").to_pylist()
-        found_a, found_b = [], []
-        order = np.argsort(unit, kind="stable")
-        for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1):
-            low = min(len(sketches[r]) for r in rows)
-            packed = np.stack([fold_sketch(np.frombuffer(sketches[r], np.uint8), low) for r in rows])
-            packed = packed.view(np.uint64)
+    def run(table: pa.Table, drawn: pa.Table) -> pa.Table:
+        found = [np.zeros((2, 0), np.int64)]
+        comp, node, side, unit, split = (table.column(c).to_numpy() for c in ("component", "node", "side", "unit", "split"))
+        place = {x: k for k, x in enumerate(drawn.column("node").to_pylist())}
+        sizes = drawn.column("size").to_numpy()
+        sketches = [np.frombuffer(x.as_buffer(), np.uint8) for x in drawn.column("sketch")]
+        seen = set()
+        order = np.lexsort((node, unit))
+        for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1) if len(order) else []:
+            if (same := (node[rows].tobytes(), side[rows].tobytes())) in seen:
+                continue
+            seen.add(same)
+            at = [place[x] for x in node[rows].tolist()]
+            low, size = min(len(sketches[k]) for k in at), sizes[at]
+            packed_bits = np.stack([fold_sketch(sketches[k], low) for k in at]).view(np.uint64)
             for k, r in enumerate(rows):
                 later = np.arange(k + 1, len(rows)) if not split[r] else (
                     np.flatnonzero(side[rows] == 1) if side[r] == 0 else np.zeros(0, np.int64))
                 later = later[comp[rows[later]] != comp[r]]
-                if not len(later):
-                    continue
-                apart = np.bitwise_count(packed[later] ^ packed[k]).sum(axis=1, dtype=np.int64)
-                total = size[rows[later]] + size[r]
-                near = later[apart * (100 + percent) <= total * (100 - percent)]
-                found_a.append(np.minimum(node[rows[near]], node[r]))
-                found_b.append(np.maximum(node[rows[near]], node[r]))
-        pairs = np.stack([np.concatenate(found_a), np.concatenate(found_b)]) if found_a else np.zeros((2, 0), np.int64)
-        pairs = np.unique(pairs, axis=1)
+                apart = np.bitwise_count(packed_bits[later] ^ packed_bits[k]).sum(axis=1, dtype=np.int64)
+                near = later[apart * (100 + percent) <= (size[later] + size[k]) * (100 - percent)]
+                if len(near):
+                    other = node[rows[near]]
+                    found.append(np.stack([np.minimum(other, node[r]), np.maximum(other, node[r])]))
+        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
         return pa.table({"a": pairs[0], "b": pairs[1]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
     return run
 
@@ -206,7 +238,7 @@ def near_duplicate_components(docs: DataFrame, n: int = 5, percent: int = 80, id
     """``doc_id, n_shingles, component_id``: components of documents whose shingle sets have Jaccard >= percent / 100.
 
     Words are lower-cased (A-Z). Equal sets are one node, so copies never meet as pairs. Every set meets the
-    first set of its most frequent shared chunk; what that does not join is compared chunk by chunk, in blocks.
+    first set of most of its shared chunks; what that does not join is compared chunk by chunk, in blocks.
     Null, empty or blank texts have no shingles and stay alone. Rows with a null id are left out; repeated ids
     give repeated rows, and one id with several texts links them as those texts do. An empty table gives none.
     """
@@ -217,34 +249,48 @@ def near_duplicate_components(docs: DataFrame, n: int = 5, percent: int = 80, id
     sent = source.mapInArrow(_sketcher(n, percent, parts), packed.DDL)
     met = write_out(sent.groupBy("part").applyInArrow(_meet, _MET_DDL), "met")
     members = met.where("doc_id IS NOT NULL").select("doc_id", "n_shingles", "node")
-    shared = met.where("sig IS NOT NULL").select("sig", "node", "pivot")  # a set may come with two pivots
-
     nodes = members.where("n_shingles > 0").groupBy("node").agg(
         F.min("doc_id").alias("first_doc"), F.max("n_shingles").alias("size"))
-    wanted = shared.select("node").distinct().join(nodes, "node")
-    texts = source.join(wanted.select(F.col("first_doc").alias("doc_id"), "node"), "doc_id").select("node", "text")
+
+    # sets that share too few signatures of a family with others have no partner; a set may come with two pivots
+    shared = met.where("sig IS NOT NULL").select("sig", "node").withColumn("parity", F.col("sig").bitwiseAND(F.lit(1)))
+    rich = shared.groupBy("node", "parity").agg(F.count_distinct("sig").alias("together")).join(nodes, "node").where(
+        F.col("together") >= must_share(F.col("size"), percent)).select("node", "parity")
+    shared = shared.join(rich, ["node", "parity"]).select("sig", "node").distinct()
+    pivots = shared.groupBy("sig").agg(F.min("node").alias("pivot"), F.count("*").alias("n")).where("n > 1")
+    shared = write_out(shared.join(pivots, "sig"), "shared")
+
+    wanted = write_out(shared.select("node").distinct().join(nodes, "node"), "wanted")
+    picked = wanted.select(F.col("first_doc").alias("doc_id"), "node")
+    if wanted.count() <= BROADCAST_NODES:
+        picked = F.broadcast(picked)
+    texts = source.join(picked, "doc_id").select("node", "text")
     sets = write_out(texts.mapInArrow(_set_maker(n), "node long, grams binary, sketch binary"), "sets")
+    drawn = sets.select("node", "sketch").join(wanted.select("node", "size"), "node")
 
     by_pivot = shared.where("node <> pivot").groupBy("node", "pivot").agg(F.count("*").alias("together"))
-    best = by_pivot.groupBy("node").agg(F.max_by("pivot", F.struct("together", -F.col("pivot"))).alias("pivot"))
-    first_links = write_out(_verify(best.select(F.col("pivot").alias("a"), F.col("node").alias("b")), sets, percent), "links")
+    best = by_pivot.groupBy("node").agg(F.max(F.struct("together", "pivot")).alias("best")).select(
+        F.col("best.pivot").alias("a"), F.col("node").alias("b"))
+    sided = best.join(drawn.toDF("a", "left_sketch", "left_size"), "a").join(drawn.toDF("b", "right_sketch", "right_size"), "b")
+    likely = sided.select("a", "b", "left_sketch", "right_sketch", (F.col("left_size") + F.col("right_size")).alias("total"))
+    likely = likely.mapInArrow(_sketch_filter(percent), "a long, b long")
+    first_links = write_out(_verify(likely, sets, percent), "links")
     grouped = connected_components(first_links)
 
-    labelled = shared.select("sig", "node").distinct().join(grouped, "node", "left").select(
-        "sig", "node", F.coalesce("component", "node").alias("component"))
-    open_sigs = labelled.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high"),
-                                            F.count("*").alias("n")).where("low <> high").select("sig", "n")
+    labelled = shared.join(grouped, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    open_sigs = labelled.groupBy("sig").agg(F.min("component").alias("low"), F.max("component").alias("high")).where(
+        "low <> high").select("sig")
     blocks = F.ceil(F.col("n") / BLOCK)
-    mine = F.pmod(F.xxhash64("node"), blocks)
-    units = labelled.join(open_sigs, "sig").withColumn("blocks", blocks).withColumn("mine", mine)
+    units = labelled.join(open_sigs, "sig").withColumn("blocks", blocks).withColumn("mine", F.pmod(F.xxhash64("node"), blocks))
+    low, high = F.least("mine", "other"), F.greatest("mine", "other")
+    # chunks with one first set go to one task, as they are likely to hold the same sets
     units = units.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        F.xxhash64("sig", F.least("mine", "other"), F.greatest("mine", "other")).alias("unit"),
-        (F.col("mine") != F.col("other")).alias("split"), (F.col("mine") > F.col("other")).cast("int").alias("side"),
-        "node", "component")
-    units = units.join(sets.select("node", "sketch"), "node").join(wanted.select("node", "size"), "node")
-    groups = units.withColumn("part", F.pmod(F.col("unit"), F.lit(8 * parts)))
-    close = groups.groupBy("part").applyInArrow(_compare_blocks(percent), "a long, b long").distinct()
-    more_links = _verify(close, sets, percent)
+        F.pmod(F.xxhash64("pivot", low, high), F.lit(8 * parts)).alias("part"), F.xxhash64("sig", low, high).alias("unit"),
+        (low != high).alias("split"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "component")
+    units = write_out(units, "units")
+    needed = units.select(F.col("part").alias("to"), F.col("node").alias("node")).distinct().join(drawn, "node")
+    close = units.groupBy("part").cogroup(needed.groupBy("to")).applyInArrow(_compare_blocks(percent), "a long, b long")
+    more_links = _verify(close.distinct(), sets, percent)
     comps = connected_components(first_links.unionByName(more_links))
 
     named = members.where("n_shingles > 0").join(comps, "node", "left").withColumn(
