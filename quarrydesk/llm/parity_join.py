@@ -29,6 +29,8 @@ SPARE = 5
 BROADCAST_NODES = 2_000_000
 #: Sets of one chunk that are compared in one block.
 BLOCK = 4096
+#: Shingles gathered at a time when one set is compared with many.
+GATHER = 2_000_000
 
 _MET = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("node", pa.int64()), ("sig", pa.int64())])
 _MET_DDL = "doc_id long, n_shingles long, node long, sig long"
@@ -195,34 +197,94 @@ def _sketch_filter(percent: int):
     return run
 
 
-def _compare_blocks(percent: int):
-    """Pairs of one unit (a chunk, or two blocks of it) with other components and sketches close enough."""
+_UNIT_COLUMNS = ("component", "node", "side", "unit", "split")
+
+
+def _units(table: pa.Table) -> tuple[Iterator[np.ndarray], list[np.ndarray]]:
+    """The rows of each different unit of a task, and its columns; units that hold the same sets count once."""
+    columns = [table.column(c).to_numpy() for c in _UNIT_COLUMNS]
+    _, node, side, unit, _ = columns
+
+    def each() -> Iterator[np.ndarray]:
+        seen = set()
+        order = np.lexsort((node, unit))
+        for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1) if len(order) else []:
+            if (same := (node[rows].tobytes(), side[rows].tobytes())) not in seen:
+                seen.add(same)
+                yield rows
+    return each(), columns
+
+
+def _partners(k: int, rows: np.ndarray, side: np.ndarray, split: np.ndarray) -> np.ndarray:
+    """Which rows of a unit row k is compared with: those after it, or the other block's."""
+    if not split[rows[k]]:
+        return np.arange(k + 1, len(rows))
+    return np.flatnonzero(side[rows] == 1) if side[rows[k]] == 0 else np.zeros(0, np.int64)
+
+
+def _find_near(percent: int):
+    """Sets of a task that have a partner in another component whose sketch is close enough."""
     def run(table: pa.Table, drawn: pa.Table) -> pa.Table:
-        found = [np.zeros((2, 0), np.int64)]
-        comp, node, side, unit, split = (table.column(c).to_numpy() for c in ("component", "node", "side", "unit", "split"))
+        units, (comp, node, side, _, split) = _units(table)
         place = {x: k for k, x in enumerate(drawn.column("node").to_pylist())}
         sizes = drawn.column("size").to_numpy()
         sketches = [np.frombuffer(x.as_buffer(), np.uint8) for x in drawn.column("sketch")]
-        seen = set()
-        order = np.lexsort((node, unit))
-        for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1) if len(order) else []:
-            if (same := (node[rows].tobytes(), side[rows].tobytes())) in seen:
-                continue
-            seen.add(same)
+        found = set()
+        for rows in units:
             at = [place[x] for x in node[rows].tolist()]
-            low, size = min(len(sketches[k]) for k in at), sizes[at]
-            packed_bits = np.stack([fold_sketch(sketches[k], low) for k in at]).view(np.uint64)
+            low, size, hit = min(len(sketches[k]) for k in at), sizes[at], np.zeros(len(at), dtype=bool)
+            bits = np.stack([fold_sketch(sketches[k], low) for k in at]).view(np.uint64)
             for k, r in enumerate(rows):
-                later = np.arange(k + 1, len(rows)) if not split[r] else (
-                    np.flatnonzero(side[rows] == 1) if side[r] == 0 else np.zeros(0, np.int64))
+                later = _partners(k, rows, side, split)
                 later = later[comp[rows[later]] != comp[r]]
-                apart = np.bitwise_count(packed_bits[later] ^ packed_bits[k]).sum(axis=1, dtype=np.int64)
+                apart = np.bitwise_count(bits[later] ^ bits[k]).sum(axis=1, dtype=np.int64)
                 near = later[apart * (100 + percent) <= (size[later] + size[k]) * (100 - percent)]
-                if len(near):
-                    other = node[rows[near]]
-                    found.append(np.stack([np.minimum(other, node[r]), np.maximum(other, node[r])]))
-        pairs = np.unique(np.concatenate(found, axis=1), axis=1)
-        return pa.table({"a": pairs[0], "b": pairs[1]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
+                hit[near] = True
+                hit[k] |= len(near) > 0
+            found.update(node[rows[hit]].tolist())
+        part = table.column("part")[0] if table.num_rows else 0
+        return pa.table({"part": pa.array([part] * len(found), pa.int64()), "node": pa.array(sorted(found), pa.int64())})
+    return run
+
+
+def _count_marked(marked: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How many of ids[start:start + size] are marked, for each start; all sizes are above 0."""
+    begin = np.cumsum(size) - size
+    if not len(size):
+        return begin
+    return np.add.reduceat(marked[ids[np.arange(size.sum()) + np.repeat(start - begin, size)]].astype(np.int64), begin)
+
+
+def _link_blocks(percent: int):
+    """Links between sets of a task, by the sets themselves: enough to join all that are linked, no more."""
+    def run(table: pa.Table, held: pa.Table) -> pa.Table:
+        units, (comp, node, side, _, split) = _units(table)
+        place = {x: k for k, x in enumerate(held.column("node").to_pylist())}
+        grams = [np.frombuffer(x.as_buffer(), np.uint64) for x in held.column("grams")]
+        first = np.append(0, np.cumsum([len(x) for x in grams]))
+        names, ids = np.unique(np.concatenate(grams) if grams else np.zeros(0, np.uint64), return_inverse=True)
+        marked, links = np.zeros(len(names), dtype=bool), []
+        for rows in units:
+            at = np.array([place[x] for x in node[rows].tolist()])
+            size, label = first[at + 1] - first[at], comp[rows].copy()
+            for k in range(len(rows)):
+                later = _partners(k, rows, side, split)
+                # a set may only be linked to one whose size differs by the ratio at most
+                later = later[(label[later] != label[k]) & (100 * np.minimum(size[later], size[k]) >= percent * np.maximum(
+                    size[later], size[k]))]
+                if not len(later):
+                    continue
+                mine = ids[first[at[k]]:first[at[k] + 1]]
+                marked[mine] = True
+                common = [_count_marked(marked, ids, first[at[x]], size[x]) for x in np.array_split(
+                    later, 1 + size[later].sum() // GATHER)]
+                common, marked[mine] = np.concatenate(common), False
+                for j in later[100 * common >= percent * (size[later] + size[k] - common)]:
+                    if label[j] != label[k]:
+                        links.append((node[rows[k]], node[rows[j]]))
+                        label[label == label[j]] = label[k]
+        pairs = np.array(links, dtype=np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]}, schema=pa.schema([("a", pa.int64()), ("b", pa.int64())]))
     return run
 
 
@@ -289,8 +351,11 @@ def near_duplicate_components(docs: DataFrame, n: int = 5, percent: int = 80, id
         (low != high).alias("split"), (F.col("mine") > F.col("other")).cast("int").alias("side"), "node", "component")
     units = write_out(units, "units")
     needed = units.select(F.col("part").alias("to"), F.col("node").alias("node")).distinct().join(drawn, "node")
-    close = units.groupBy("part").cogroup(needed.groupBy("to")).applyInArrow(_compare_blocks(percent), "a long, b long")
-    more_links = _verify(close.distinct(), sets, percent)
+    near = write_out(units.groupBy("part").cogroup(needed.groupBy("to")).applyInArrow(
+        _find_near(percent), "part long, node long"), "near")
+    held = near.select(F.col("part").alias("to"), F.col("node").alias("node")).join(sets.select("node", "grams"), "node")
+    more_links = write_out(units.join(near, ["part", "node"]).groupBy("part").cogroup(held.groupBy("to")).applyInArrow(
+        _link_blocks(percent), "a long, b long").distinct(), "links")
     comps = connected_components(first_links.unionByName(more_links))
 
     named = members.where("n_shingles > 0").join(comps, "node", "left").withColumn(
