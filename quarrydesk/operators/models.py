@@ -88,7 +88,7 @@ def _fit_margins(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations:
     base = LinearSVC(featuresCol="features", labelCol="label_code", weightCol="weight", regParam=1.0 / (C * rows),
                      standardization=False, maxIter=iterations)
     ovr = OneVsRest(classifier=base, featuresCol="features", labelCol="label_code", weightCol="weight",
-                    parallelism=len(labels))
+                    parallelism=1)  # folds already run side by side; nested pools share the job's local properties
     return [(m.coefficients.toArray(), float(m.intercept)) for m in ovr.fit(ml).models]
 
 
@@ -102,7 +102,7 @@ def margins(entries: DataFrame, model: LinearModel, keys: list[str]) -> DataFram
     wide = model.weights.groupBy("idx").agg(*[
         F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("label") == name), F.col("w"))), F.lit(0.0)).alias(f"_w{i}")
         for i, (f, name) in enumerate(cells)])
-    products = entries.select(*keys, F.inline("entries")).join(bounded_broadcast(wide, len(cells)), "idx")
+    products = entries.select(*keys, F.inline("entries")).join(wide, "idx")
     sums = products.groupBy(*keys).agg(*[F.sum(F.col("x") * F.col(f"_w{i}")).alias(f"_s{i}") for i in range(len(cells))])
     with_all = entries.select(*keys).join(sums, keys, "left")
     total = [F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(model.bias[cell]) for i, cell in enumerate(cells)]
@@ -268,9 +268,10 @@ def fit_projection(text_ml: DataFrame, components: int = COMPONENTS) -> Projecti
     from pyspark.mllib.linalg.distributed import RowMatrix
     from pyspark.mllib.util import MLUtils
     spark = text_ml.sparkSession
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(text_ml.select("features"), "features"))
-    matrix.rows.cache()
+    vectors = text_ml.select("features").persist()
+    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "features"))
     basis = matrix.computeSVD(components, computeU=False).V.toArray()
+    vectors.unpersist()
     table = pa.table({"idx": pa.array(range(len(basis)), pa.int32()), "v": pa.array(basis.tolist(), pa.list_(pa.float64()))})
     return Projection(write_out(spark.createDataFrame(table), "projection"), basis.shape[1])
 

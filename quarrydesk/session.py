@@ -40,7 +40,9 @@ def shared_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     if not sc.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-    return _LOCAL_ROOTS.setdefault(sc.applicationId, tempfile.mkdtemp(prefix="quarrydesk-"))
+    if sc.applicationId not in _LOCAL_ROOTS:
+        _LOCAL_ROOTS[sc.applicationId] = tempfile.mkdtemp(prefix="quarrydesk-")
+    return _LOCAL_ROOTS[sc.applicationId]
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
