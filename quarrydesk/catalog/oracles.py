@@ -507,8 +507,12 @@ ORACLES: dict[str, str] = {
     "score_drift": f"""WITH {PREDICTIONS},
         dated AS (SELECT strftime(ts, '%Y-%m-%d') AS window_start, label, CASE WHEN truth = label THEN 1.0 ELSE 0.0 END AS hit, p
                   FROM calibrated JOIN events ON event_id = doc_id),
-        fit AS (SELECT label, CASE WHEN truth = label THEN 1.0 ELSE 0.0 END AS hit, p FROM softmaxed),
-        {uniform_curve('dated', 'dc', 'window_start, label')}, {uniform_curve('fit', 'fc')},
+        fit AS (SELECT 'fit' AS window_start, label, CASE WHEN truth = label THEN 1.0 ELSE 0.0 END AS hit, p FROM calibrated),
+        both_sides AS (SELECT * FROM dated UNION ALL SELECT * FROM fit),
+        edges AS (SELECT window_start, label, quantile_cont(p, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS cuts FROM both_sides GROUP BY ALL),
+        curve AS (SELECT window_start, label, len(list_filter(cuts, lambda e: e < p)) AS bin, avg(hit) AS fraction_positive, avg(p) AS mean_predicted
+                  FROM both_sides JOIN edges USING (window_start, label) GROUP BY ALL),
+        dc AS (SELECT * FROM curve WHERE window_start <> 'fit'), fc AS (SELECT * FROM curve WHERE window_start = 'fit'),
         d AS (SELECT window_start, label, avg((hit - p) ** 2) AS brier FROM dated GROUP BY ALL),
         de AS (SELECT window_start, label, avg(abs(fraction_positive - mean_predicted)) AS ece FROM dc GROUP BY ALL),
         f AS (SELECT label, avg((hit - p) ** 2) AS fit_brier FROM fit GROUP BY ALL),

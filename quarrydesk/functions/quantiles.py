@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 BUCKET_BITS = 8
-SMALL_ROWS = 1_000_000
 
 
 def _bucket_of(value: Column, edges: Column, bits: int) -> Column:
@@ -28,25 +27,15 @@ def _bucket_of(value: Column, edges: Column, bits: int) -> Column:
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (),
-                    few_groups: bool = False, small_rows: int = SMALL_ROWS) -> DataFrame:
+                    few_groups: bool = False, bits: int = BUCKET_BITS) -> DataFrame:
     """Linear-interpolated quantiles: ``by`` columns, ``n`` and array ``quantiles``.
 
-    NULLs are skipped and groups without values give no row. The row count is
-    checked first: up to ``small_rows`` the built-in exact ``percentile`` fits
-    in one buffer, beyond that the bucketed plan takes over with equal results.
-    ``few_groups`` promises a small, fixed set of groups (classes, features), so
-    the edge table is broadcast; otherwise the optimiser sizes that join.
+    NULLs are skipped and groups without values give no row. One plan serves
+    every size. ``few_groups`` promises a small, fixed set of groups (classes,
+    features), so the edge table is broadcast; otherwise the optimiser sizes
+    that join.
     """
     src = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
-    if src.count() <= small_rows:
-        quantiles = F.percentile("_v", [float(p) for p in probs]).alias("quantiles")
-        return src.groupBy(*by).agg(F.count("*").alias("n"), quantiles).filter(F.col("n") > 0)
-    return bucketed_quantiles(src, probs, by, few_groups)
-
-
-def bucketed_quantiles(src: DataFrame, probs: Sequence[float], by: Sequence[str], few_groups: bool,
-                       bits: int = BUCKET_BITS) -> DataFrame:
-    """The large-table plan of ``exact_quantiles`` over non-NULL ``_v``."""
     by = list(by)
     count = 1 << bits
     cuts = ", ".join(f"{i / count!r}D" for i in range(1, count))

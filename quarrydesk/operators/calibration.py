@@ -51,15 +51,15 @@ def brier(long: DataFrame, by: tuple[str, ...] = ("label",)) -> DataFrame:
     return long.groupBy(*by).agg(F.avg(F.pow(F.col("hit") - F.col("p"), 2)).alias("brier"))
 
 
-def quantile_bins(long: DataFrame, bins: int = BINS) -> DataFrame:
-    """Add ``bin``: how many inner quantile edges of the class lie below p.
+def quantile_bins(long: DataFrame, bins: int = BINS, by: tuple[str, ...] = ("label",)) -> DataFrame:
+    """Add ``bin``: how many inner quantile edges of the class (or of ``by``) lie below p.
 
-    Classes are few, so their edges are a small broadcast table.
+    Classes are few, so their edges are a small broadcast table; finer groups leave the join to the optimiser.
     """
-    inner = [i / bins for i in range(1, bins)]
-    edges = exact_quantiles(long, "p", inner, by=["label"], few_groups=True).select("label", F.col("quantiles").alias("_edges"))
+    inner, few = [i / bins for i in range(1, bins)], by == ("label",)
+    edges = exact_quantiles(long, "p", inner, by=list(by), few_groups=few).select(*by, F.col("quantiles").alias("_edges"))
     below = F.aggregate("_edges", F.lit(0), lambda n, e: n + F.when(e < F.col("p"), 1).otherwise(0))
-    return long.join(F.broadcast(edges), "label").withColumn("bin", below).drop("_edges")
+    return long.join(F.broadcast(edges) if few else edges, list(by)).withColumn("bin", below).drop("_edges")
 
 
 def uniform_bins(long: DataFrame, bins: int = BINS) -> DataFrame:
@@ -134,8 +134,8 @@ def drift(by_window: DataFrame, fitted: DataFrame, bins: int = BINS) -> DataFram
     ``by_window``: (window_start, label, hit, p); ``fitted``: (label, hit, p).
     """
     by = ("window_start", "label")
-    live = brier(by_window, by).join(adaptive_error(reliability_curve(uniform_bins(by_window, bins), by), by), list(by))
-    base = brier(fitted).join(adaptive_error(reliability_curve(uniform_bins(fitted, bins))), "label").select(
+    live = brier(by_window, by).join(adaptive_error(reliability_curve(quantile_bins(by_window, bins, by), by), by), list(by))
+    base = brier(fitted).join(adaptive_error(reliability_curve(quantile_bins(fitted, bins))), "label").select(
         "label", F.col("brier").alias("fit_brier"), F.col("ece").alias("fit_ece"))
     return live.join(base, "label").select(
         "window_start", "label", "brier", "ece", "fit_brier", "fit_ece",
