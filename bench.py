@@ -50,7 +50,7 @@ def main() -> None:
         "near_duplicates": near,
         "retrieval_all_queries": lambda: run(queries.QUERIES["similar_tickets"](spark, sf_dir)),
         "calibration": lambda: run(queries.QUERIES["calibration_report"](spark, sf_dir)),
-        "category_lr": lambda: training.train_category_model(split, "lr", iterations=50).metrics.collect(),
+        "category_lr": lambda: training.train_category_model(split, "lr").metrics.collect(),
         "category_svm": lambda: run(queries.QUERIES["category_calibrated_svm"](spark, sf_dir)),
         "priority_forest": lambda: run(queries.QUERIES["priority_forest"](spark, sf_dir)),
         "batch_triage": lambda: run(queries.QUERIES["batch_triage"](spark, sf_dir)),

@@ -159,7 +159,7 @@ def sparse_struct(entries: Column, size: int) -> Column:
                     F.transform(kept, lambda e: e["x"]).alias("values"))
 
 
-def as_ml_table(df: DataFrame, size: int, partitions: int | None = None) -> DataFrame:
+def as_ml_table(df: DataFrame, size: int) -> DataFrame:
     """Write ``entries`` as vectors and read them back typed as ML vectors.
 
     Estimators scan their input once per iteration, so it has to be a table
@@ -168,6 +168,6 @@ def as_ml_table(df: DataFrame, size: int, partitions: int | None = None) -> Data
     spark = df.sparkSession
     path = scratch_path(spark, "ml_features")
     shaped = df.withColumn("features", sparse_struct(F.col("entries"), size)).drop("entries")
-    (shaped.coalesce(partitions) if partitions else shaped).write.parquet(path)
+    shaped.write.parquet(path)
     fields = [T.StructField(f.name, VectorUDT() if f.name == "features" else f.dataType) for f in shaped.schema.fields]
     return spark.read.schema(T.StructType(fields)).parquet(path)

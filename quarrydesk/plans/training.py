@@ -34,10 +34,9 @@ def _labels_and_weights(train: DataFrame, label: str) -> tuple[tuple[str, ...],
     return tuple(r[label] for r in rows), {r[label]: total / (k * r["n"]) for r in rows}, total
 
 
-def _partitions(rows: int, df: DataFrame) -> int | None:
-    """Small inputs are bound by per-task overhead: few, full partitions."""
-    wanted = -(-rows // ROWS_PER_PARTITION)
-    return wanted if wanted < df.sparkSession.sparkContext.defaultParallelism else None
+def _laid_out(ml: DataFrame, rows: int) -> DataFrame:
+    """Rows placed and ordered by id alone, so the same data gives the same model on every cluster."""
+    return ml.repartition(-(-rows // ROWS_PER_PARTITION), ROW_SEQ).sortWithinPartitions(ROW_SEQ)
 
 
 def _finish(name: str, scored: DataFrame, test: DataFrame, label: str, began: float) -> tuple[DataFrame, DataFrame]:
@@ -72,7 +71,7 @@ def train_category_model(split: DataFrame, kind: str = "svm", label: str = "cate
         train = splits.stratified_folds(train, label, folds)
     keep = [ROW_SEQ, label, *(["fold"] if kind == "svm" else []), "entries"]
     table = write_out(space.transform(train).select(*keep), "train_entries")
-    ml = feat.as_ml_table(models.labelled(table, label, labels, weights), space.size, _partitions(rows, train)).cache()
+    ml = _laid_out(feat.as_ml_table(models.labelled(table, label, labels, weights), space.size), rows).cache()
     if kind == "lr":
         model = models.fit_logistic(ml, labels, rows, iterations or models.LR_ITERATIONS)
     else:
@@ -95,15 +94,14 @@ def train_priority_model(split: DataFrame, kind: str = "boosted", label: str = "
     space = feat.fit_space(train, max_features, _check_inputs(None, False))
     table = write_out(space.transform(train).select(ROW_SEQ, label, "entries"), "train_entries")
     text = table.select(F.filter("entries", lambda e: e["idx"] < space.text_size).alias("entries"))
-    parts = _partitions(rows, train)
-    projection = models.fit_projection(feat.as_ml_table(text, space.text_size, parts), min(components, space.text_size))
+    projection = models.fit_projection(feat.as_ml_table(text, space.text_size), min(components, space.text_size))
     short = projection.components + space.size - space.text_size
 
     def dense(entries: DataFrame, keys: list[str]) -> DataFrame:
         return models.project(entries, projection, space.text_size, keys)
 
     fit_rows = dense(table, [ROW_SEQ, label])
-    ml = feat.as_ml_table(models.labelled(fit_rows, label, labels, weights), short, parts).cache()
+    ml = _laid_out(feat.as_ml_table(models.labelled(fit_rows, label, labels, weights), short), rows).cache()
     if kind == "forest":
         model = models.fit_forest(ml, trees or models.TREES_FOREST, depth or models.FOREST_DEPTH)
     else:
