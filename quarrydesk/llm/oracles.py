@@ -1,5 +1,53 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express, written from the plain definitions: sets, windows and counts."""
 
 from __future__ import annotations
 
-ORACLES: dict[str, str] = {}
+_WORD = r"'[^\x20\x09-\x0D]+'"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+#: Linked sets share at least one shingle, so a join on shingles finds all pairs; equal sets are one node.
+_PARITY_JOIN = f"""
+WITH RECURSIVE spoken AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_WORD}) AS words FROM documents),
+sets AS (
+    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
+        ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))))
+        END AS shingles
+    FROM spoken),
+members AS (
+    SELECT doc_id, len(shingles) AS n, shingles,
+        CASE WHEN len(shingles) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY shingles) END AS node FROM sets),
+nodes AS (SELECT DISTINCT node, n, shingles FROM members),
+postings AS (SELECT node, n, unnest(shingles) AS shingle FROM nodes),
+links AS (
+    SELECT a.node AS a, b.node AS b FROM postings a JOIN postings b ON a.shingle = b.shingle AND a.node <> b.node
+    GROUP BY a.node, b.node, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (
+    SELECT node, node AS other FROM nodes
+    UNION
+    SELECT reach.node, links.b FROM reach JOIN links ON reach.other = links.a),
+least AS (SELECT node, min(other) AS component_id FROM reach GROUP BY node)
+SELECT doc_id, n AS n_shingles, component_id FROM members JOIN least USING (node)
+"""
+
+_SUBSTRING_DEDUP = f"""
+WITH spoken AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
+placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM spoken),
+windows AS (
+    SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS phrase
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM spoken)),
+firsts AS (SELECT phrase, min(doc_id) AS first_doc FROM windows GROUP BY phrase),
+covered AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (phrase) WHERE first_doc < doc_id),
+judged AS (
+    SELECT placed.doc_id, placed.i, word, covered.i IS NOT NULL AS gone
+    FROM placed LEFT JOIN covered ON placed.doc_id = covered.doc_id AND placed.i = covered.i),
+kept AS (
+    SELECT doc_id, count(*) FILTER (gone) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT gone) AS text
+    FROM judged GROUP BY doc_id)
+SELECT doc_id, len(words) AS n_words, coalesce(n_removed, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM spoken LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLES: dict[str, str] = {"op1_parity_join": _PARITY_JOIN, "op5_substring_dedup": _SUBSTRING_DEDUP}
