@@ -9,11 +9,12 @@ _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _PARITY_JOIN = f"""
 WITH RECURSIVE spoken AS (
     SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), {_WORD}) AS words FROM documents),
-sets AS (
-    SELECT doc_id, CASE WHEN len(words) = 0 THEN [] WHEN len(words) < 5 THEN [array_to_string(words, ' ')]
-        ELSE list_sort(list_distinct(list_transform(range(1, len(words) - 3), lambda i: array_to_string(words[i:i + 4], ' '))))
-        END AS shingles
-    FROM spoken),
+placed AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM spoken),
+grams AS (
+    SELECT doc_id, n, i, string_agg(word, ' ') OVER (
+        PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS shingle FROM placed),
+filled AS (SELECT doc_id, list_sort(list(DISTINCT shingle)) AS shingles FROM grams WHERE i <= greatest(n - 4, 1) GROUP BY doc_id),
+sets AS (SELECT doc_id, coalesce(shingles, []) AS shingles FROM spoken LEFT JOIN filled USING (doc_id)),
 members AS (
     SELECT doc_id, len(shingles) AS n, shingles,
         CASE WHEN len(shingles) = 0 THEN doc_id ELSE min(doc_id) OVER (PARTITION BY shingles) END AS node FROM sets),
@@ -33,10 +34,12 @@ SELECT doc_id, n AS n_shingles, component_id FROM members JOIN least USING (node
 _SUBSTRING_DEDUP = f"""
 WITH spoken AS (
     SELECT doc_id, regexp_extract_all(coalesce(text, ''), {_WORD}) AS words FROM documents),
-placed AS (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM spoken),
+placed AS (SELECT doc_id, len(words) AS n, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM spoken),
 windows AS (
-    SELECT doc_id, i, array_to_string(words[i:i + 12], ' ') AS phrase
-    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 11)) AS i FROM spoken)),
+    SELECT doc_id, i, phrase FROM (
+        SELECT doc_id, n, i, string_agg(word, ' ') OVER (
+            PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 12 FOLLOWING) AS phrase FROM placed)
+    WHERE i <= n - 12),
 firsts AS (SELECT phrase, min(doc_id) AS first_doc FROM windows GROUP BY phrase),
 covered AS (
     SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM windows JOIN firsts USING (phrase) WHERE first_doc < doc_id),
