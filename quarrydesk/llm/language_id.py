@@ -3,7 +3,7 @@
 A text is a vector of hashed character n-grams (1 to 3 code points, lower-cased, digits and punctuation as blanks),
 with sublinear term frequency times inverse document frequency, normalised. Each language has a few centroids from
 spherical k-means over labelled texts; a text gets the language of its centroid with the largest cosine. A text
-that is further from every centroid than the labelled texts are is rejected.
+that is further from its centroid than labelled texts of that language and of like length are is rejected.
 """
 
 from __future__ import annotations
@@ -24,8 +24,13 @@ DIMENSIONS = 4096
 SAMPLE_PER_LANGUAGE = 1000
 CENTROIDS = 4
 ROUNDS = 10
-#: A text is rejected when its cosine is below this share of the lowest per-mille of the labelled texts' cosines.
-REJECT_SHARE = 0.2
+#: A text is rejected when its cosine is below this share of a low quantile of the cosines that labelled texts of its
+#: language and length have with centroids fitted without them.
+REJECT_SHARE, REJECT_QUANTILE = 0.75, 0.01
+#: Lengths, counted in n-grams, are alike within one power of ``LENGTH_STEP``; the last class has no upper end.
+LENGTH_STEP, LENGTHS = 4, 9
+#: So many labelled texts at least calibrate one cut, if need be of other languages or from the classes beside it.
+CALIBRATORS = 20
 
 UNDETERMINED = "und"
 _COUNT_ROWS = 256
@@ -85,12 +90,13 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
 
 @dataclass(frozen=True)
 class CentroidModel:
-    """Centroids of unit length with their languages; ``reject_below`` is the least cosine that is no outlier."""
+    """Centroids of unit length with their languages; ``reject_below`` (centroid, length class) has the least cosines
+    that are no outliers."""
 
     idf: np.ndarray
     centroids: np.ndarray
     languages: list[str]
-    reject_below: float
+    reject_below: np.ndarray
 
 
 def _spherical_kmeans(vectors: np.ndarray, k: int, seed: int) -> np.ndarray:
@@ -119,7 +125,7 @@ def fit_centroids(labelled: DataFrame, seed: int = 5, per_language: int = SAMPLE
         "lang IS NOT NULL AND text IS NOT NULL").where(has_letter(F.col("text")))
     sizes = {r["lang"]: r["n"] for r in wanted.groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not sizes:
-        return CentroidModel(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], 2.0)
+        return CentroidModel(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros((0, LENGTHS)))
     # the cut by hash keeps about the bound of each language, and the limit makes it one
     order, share = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)), F.lit(0.0)
     for lang, n in sizes.items():
@@ -135,14 +141,58 @@ def fit_centroids(labelled: DataFrame, seed: int = 5, per_language: int = SAMPLE
     idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
     vectors = _vectors(counts, idf)
     lang = np.array([r["lang"] for r in rows])
+    names, centres = _centroids(vectors, lang, k, seed)
+    return CentroidModel(idf, centres, names, _cuts(vectors, lang, length_class(counts), names, k, seed))
+
+
+def _centroids(vectors: np.ndarray, lang: np.ndarray, k: int, seed: int) -> tuple[list[str], np.ndarray]:
     names, centres = [], []
     for name in sorted(set(lang.tolist())):
         own = _spherical_kmeans(vectors[lang == name], k, seed)
         centres.append(own)
         names += [name] * len(own)
-    centres = np.concatenate(centres).astype(np.float32)
-    best = (vectors @ centres.T).max(axis=1)
-    return CentroidModel(idf, centres, names, REJECT_SHARE * float(np.quantile(best, 0.001)))
+    return names, np.concatenate(centres).astype(np.float32)
+
+
+def length_class(counts: np.ndarray) -> np.ndarray:
+    size = np.maximum(counts.sum(axis=1), 1)
+    return np.minimum(np.log(size) / np.log(LENGTH_STEP) + 1e-6, LENGTHS - 1).astype(np.int64)
+
+
+def _cuts(vectors: np.ndarray, lang: np.ndarray, length: np.ndarray, names: list[str], k: int, seed: int) -> np.ndarray:
+    """The least cosine that is no outlier for each centroid and length class.
+
+    Each half of a language's texts is judged by centroids of the other half, as texts lie too near to their own. Where
+    a language has few texts of a class, those of all languages count; where all have few, the class is filled up with
+    shorter texts, whose cosines are no larger, then with longer ones, whose cosines shrink with the root of the length.
+    """
+    half = np.zeros(len(lang), dtype=np.int64)
+    for name in set(lang.tolist()):
+        half[lang == name] = np.arange((lang == name).sum()) % 2
+    found, cosine, size = [], [], []
+    for h in (0, 1):
+        if not (half != h).any():
+            continue
+        fitted, centres = _centroids(vectors[half != h], lang[half != h], k, seed)
+        own = (half == h) & np.isin(lang, fitted)
+        near = vectors[own] @ centres.T
+        found += [fitted[b] for b in near.argmax(axis=1)]
+        cosine.append(near.max(axis=1))
+        size.append(length[own])
+    if not found:
+        return np.zeros((len(names), LENGTHS))
+    found, cosine, size = np.array(found), np.concatenate(cosine), np.concatenate(size)
+
+    def cut(name: str, at: int) -> float:
+        used = cosine[(size == at) & (found == name)]
+        for c in [at, *range(at - 1, -1, -1), *range(at + 1, LENGTHS)]:
+            if len(used) >= CALIBRATORS:
+                break
+            alike = cosine[size == c] * float(LENGTH_STEP) ** (-max(c - at, 0) / 2)
+            used = alike if c == at else np.append(used, alike)
+        return REJECT_SHARE * float(np.quantile(used, REJECT_QUANTILE))
+    known = {name: [cut(name, at) for at in range(LENGTHS)] for name in set(names)}
+    return np.array([known[name] for name in names])
 
 
 def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -176,22 +226,24 @@ def _scorer(model):
         known = model.value
         for batch in batches:
             for piece in slices(batch):
-                names, scores = [], []
+                names, scores, cuts = [], [], []
                 for counts in ngram_counts(piece.column(1)):
                     if not known.languages:
                         names += [UNDETERMINED] * len(counts)
                         scores += [0.0] * len(counts)
+                        cuts += [2.0] * len(counts)
                         continue
                     cosine = _vectors(counts, known.idf) @ known.centroids.T
                     best = np.argmax(cosine, axis=1)
                     names += [known.languages[b] for b in best]
                     scores += np.clip(cosine[np.arange(len(best)), best], 0, 1).tolist()
+                    cuts += known.reject_below[best, length_class(counts)].tolist()
                 lettered = piece.column(2).to_numpy(zero_copy_only=False)
                 scores = np.where(lettered, np.array(scores, dtype=np.float64), 0.0)
                 names = [name if x else UNDETERMINED for name, x in zip(names, lettered)]
                 yield pa.RecordBatch.from_arrays(
                     [piece.column(0), pa.array(names, pa.string()), pa.array(scores), pa.array(
-                        ~lettered | (scores < known.reject_below))], schema=schema)
+                        ~lettered | (scores < np.array(cuts, dtype=np.float64)))], schema=schema)
     return run
 
 
@@ -199,7 +251,7 @@ def identify_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc
     """``doc_id, lang_pred, score, rejected`` of whole texts: the nearest centroid's language and its cosine.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected; other texts further away than
-    ``model.reject_below`` keep their nearest language and are rejected. Ties go to the first language by name.
+    ``model.reject_below`` has for their length keep their nearest language and are rejected. Ties go to the first language by name.
     Null ids stay null, repeated rows are scored each, an empty table gives none. The model is broadcast: its size
     is ``DIMENSIONS`` times the centroids, whatever the data.
     """

@@ -1,5 +1,6 @@
 """Operators against brute force on awkward rows: nulls, empty and long texts, copies, clashing extra columns."""
 
+import base64
 import hashlib
 import re
 
@@ -178,6 +179,31 @@ def test_language_and_rejection(spark, docs, sf_dir):
     assert {r["lang_pred"] for r in language_id.identify_languages(docs, none).collect()} == {"und"}
 
 
+def test_paragraphs_of_no_learned_language_are_rejected(spark):
+    given = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = language_id.fit_centroids(given.where("doc_id % 4 <> 0"))
+    rng = np.random.default_rng(3)
+    letters = ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz   "), n)) for n in (200, 1000, 5000)]
+    foreign = ["".join(map(chr, rng.integers(0x4E00, 0x9FFF, 3000))), base64.b64encode(rng.bytes(2000)).decode(),
+               "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja "
+               "omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+               "Wszyscy ludzie rodzą się wolni i równi pod względem swej godności i swych praw. Są oni obdarzeni rozumem "
+               "i sumieniem i powinni postępować wobec innych w duchu braterstwa.",
+               "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью и "
+               "должны поступать в отношении друг друга в духе братства."]
+    strange = spark.createDataFrame(list(enumerate(letters + foreign)), "doc_id long, text string")
+    got = language_id.identify_languages(strange, model).collect()
+    assert len(got) == 8 and all(r["rejected"] and r["lang_pred"] != "und" for r in got)
+    found = language_id.identify_languages(given, model)
+    assert found.where("rejected").count() <= 0.01 * found.count()
+
+
+def test_few_labelled_texts_reject_none_of_their_own(spark):
+    own = spark.createDataFrame([(1, "one two three", "en"), (2, "un deux trois", "fr")], "doc_id long, text string, lang string")
+    got = language_id.identify_languages(own, language_id.fit_centroids(own)).collect()
+    assert {(r["lang_pred"], r["rejected"]) for r in got} == {("en", False), ("fr", False)}
+
+
 def test_quality_rules(spark, docs, sf_dir):
     given, labels = (spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in ("documents", "labels"))
     model = quality.fit_rules(given, labels.where("doc_id % 3 <> 1"))
