@@ -650,7 +650,7 @@ def chart_labels(spark, sf):
 
 
 # --- models (no SQL: trained) -----------------------------------------------
-# Logistic regression runs its full settings; the SVM and the trees run fewer steps here than the library defaults.
+# All run the operators' full settings.
 
 _TRAINED: dict[str, object] = {}
 
@@ -667,15 +667,15 @@ def _logistic(spark, sf):
 
 
 def _svm(spark, sf):
-    return _once(spark, sf, "svm", lambda: training.train_category_model(D.customer_split(spark, sf), "svm", iterations=10))
+    return _once(spark, sf, "svm", lambda: training.train_category_model(D.customer_split(spark, sf), "svm"))
 
 
 def _forest(spark, sf):
-    return _once(spark, sf, "forest", lambda: training.train_priority_model(D.customer_split(spark, sf), "forest", components=20, trees=20, depth=8))
+    return _once(spark, sf, "forest", lambda: training.train_priority_model(D.customer_split(spark, sf), "forest"))
 
 
 def _boosted(spark, sf):
-    return _once(spark, sf, "boosted", lambda: training.train_priority_model(D.customer_split(spark, sf), "boosted", components=20, trees=5))
+    return _once(spark, sf, "boosted", lambda: training.train_priority_model(D.customer_split(spark, sf), "boosted"))
 
 
 def _predictions(trained):

@@ -6,6 +6,7 @@ one sum per class. Trees score through the Spark ML model.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass, field
 from functools import reduce
 from math import log
@@ -115,7 +116,7 @@ def fit_platt(held_out: DataFrame, cells: list[tuple[int, str]]) -> dict[tuple[i
 
     ``held_out``: (fold, label, margin, hit). Newton steps on Platt's smoothed
     targets; each step is one grouped sum over the table and brings back five
-    numbers per cell.
+    numbers per cell. Sigmoids that still move after ``PLATT_STEPS`` steps are named in a warning.
     """
     counts = {(r["fold"], r["label"]): (r["pos"], r["neg"]) for r in held_out.groupBy("fold", "label").agg(
         F.count_if(F.col("hit") == 1).alias("pos"), F.count_if(F.col("hit") == 0).alias("neg")).collect()}
@@ -146,6 +147,8 @@ def fit_platt(held_out: DataFrame, cells: list[tuple[int, str]]) -> dict[tuple[i
                 active.discard(cell)
         if moved < PLATT_TOLERANCE or not active:
             break
+    else:
+        warnings.warn(f"sigmoids not converged after {PLATT_STEPS} steps, last move {moved:.1e}: {sorted(active)}")
     return params
 
 

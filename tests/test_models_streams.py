@@ -1,5 +1,6 @@
 """Trained models keep their invariants; streams equal batch."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from quarrydesk.catalog import derived as D
@@ -42,6 +43,24 @@ def test_forest_scores_every_test_ticket(spark, sf_dir):
     assert trained.predictions.count() == splits.test_rows(split).count()
 
 
+def test_registered_models_run_the_default_settings(spark, sf_dir, monkeypatch):
+    calls = []
+    for name in ("train_category_model", "train_priority_model"):
+        monkeypatch.setattr(training, name, lambda split, *kind, **settings: calls.append((*kind, settings)))
+    monkeypatch.setattr(Q, "_once", lambda spark, sf, name, build: build())
+    for fit in (Q._logistic, Q._svm, Q._forest, Q._boosted):
+        fit(spark, sf_dir)
+    assert calls == [("lr", {}), ("svm", {}), ("forest", {}), ("boosted", {})]
+
+
+def test_sigmoids_that_do_not_converge_are_named(spark, monkeypatch):
+    rows = [(0, "a", m / 10, int(m + (m % 3) > 5)) for m in range(-20, 20)]
+    held = spark.createDataFrame(rows, "fold int, label string, margin double, hit int")
+    monkeypatch.setattr(models, "PLATT_STEPS", 2)
+    with pytest.warns(UserWarning, match="not converged after 2 steps"):
+        models.fit_platt(held, [(0, "a")])
+
+
 def test_cleaned_stream_equals_batch(spark, sf_dir, tmp_path):
     stream = jobs.clean_stream(Q._stream_of_raw(spark, sf_dir))
     jobs.append_batches(stream, str(tmp_path / "out")).awaitTermination()
