@@ -743,9 +743,7 @@ def stored_priority_model(spark, sf):
 
 @query
 def model_explanations(spark, sf):
-    trained = _svm(spark, sf)
-    test = splits.test_rows(D.customer_split(spark, sf))
-    return triage.categorise(test, trained, 10).select(
+    return triage.categorise(_clean(spark, sf), _svm(spark, sf), 10).select(
         ROW_SEQ, "category", "category_confidence", F.size("explanation").alias("n_features"))
 
 
@@ -759,7 +757,7 @@ def model_calibration(spark, sf):
 
 def _tickets_with_vectors(spark, sf):
     vectors = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias(ROW_SEQ), "embedding")
-    return splits.test_rows(D.customer_split(spark, sf)).join(vectors, ROW_SEQ, "left")
+    return _clean(spark, sf).join(vectors, ROW_SEQ, "left")
 
 
 @query

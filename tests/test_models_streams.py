@@ -53,6 +53,17 @@ def test_registered_models_run_the_default_settings(spark, sf_dir, monkeypatch):
     assert calls == [("lr", {}), ("svm", {}), ("forest", {}), ("boosted", {})]
 
 
+def test_triage_and_explanations_answer_every_ticket(spark, sf_dir, monkeypatch):
+    split = D.customer_split(spark, sf_dir)
+    svm = training.train_category_model(split, "svm", iterations=3, max_features=300, folds=2)
+    forest = training.train_priority_model(split, "forest", components=5, max_features=300, trees=3, depth=3)
+    monkeypatch.setattr(Q, "_svm", lambda *_: svm)
+    monkeypatch.setattr(Q, "_forest", lambda *_: forest)
+    want = sorted(r[0] for r in tables.clean_tickets(spark, sf_dir).select(ROW_SEQ).collect())
+    for query in (Q.batch_triage, Q.model_explanations):
+        assert sorted(r[0] for r in query(spark, sf_dir).select(ROW_SEQ).collect()) == want
+
+
 def test_sigmoids_that_do_not_converge_are_named(spark, monkeypatch):
     rows = [(0, "a", m / 10, int(m + (m % 3) > 5)) for m in range(-20, 20)]
     held = spark.createDataFrame(rows, "fold int, label string, margin double, hit int")
