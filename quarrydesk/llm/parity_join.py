@@ -201,15 +201,15 @@ _UNIT_COLUMNS = ("component", "node", "side", "unit", "split")
 
 
 def _units(table: pa.Table) -> tuple[Iterator[np.ndarray], list[np.ndarray]]:
-    """The rows of each different unit of a task, and its columns; units that hold the same sets count once."""
+    """The rows of each different unit of a task, and its columns; units of one kind that hold the same sets count once."""
     columns = [table.column(c).to_numpy() for c in _UNIT_COLUMNS]
-    _, node, side, unit, _ = columns
+    _, node, side, unit, split = columns
 
     def each() -> Iterator[np.ndarray]:
         seen = set()
         order = np.lexsort((node, unit))
         for rows in np.split(order, np.flatnonzero(np.diff(unit[order])) + 1) if len(order) else []:
-            if (same := (node[rows].tobytes(), side[rows].tobytes())) not in seen:
+            if (same := (node[rows].tobytes(), side[rows].tobytes(), split[rows].tobytes())) not in seen:
                 seen.add(same)
                 yield rows
     return each(), columns

@@ -5,6 +5,7 @@ import hashlib
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -58,6 +59,46 @@ def test_near_duplicate_components(docs, empty):
     assert parity_join.near_duplicate_components(empty).count() == 0
 
 
+def test_split_unit_does_not_hide_a_whole_one():
+    """Both units hold the sets 1 and 2 on side 0; only the second one, which is no split, compares them."""
+    units = pa.table({"component": [1, 2, 1, 2], "node": [1, 2, 1, 2], "side": [0, 0, 0, 0], "unit": [5, 5, 9, 9],
+                      "split": [True, True, False, False]})
+    grams = np.arange(50, dtype=np.uint64).tobytes()
+    held = pa.table({"node": [1, 2], "grams": pa.array([grams, grams], pa.binary())})
+    assert parity_join._link_blocks(80)(units, held).to_pylist() == [{"a": 1, "b": 2}]
+
+
+def test_small_blocks_lose_no_link(spark, monkeypatch):
+    monkeypatch.setattr(parity_join, "BLOCK", 4)
+    monkeypatch.setattr(parity_join, "_sketch_filter", _nothing_is_near)     # all links are left to the blocks
+    held = spark.conf.get("spark.sql.shuffle.partitions")
+    rng, rows = np.random.default_rng(4), []
+    for i in range(60):
+        words = [f"w{k}" for k in range(120)]
+        words[rng.integers(120)] = f"z{i}"
+        rows.append((i, " ".join(words[:rng.integers(90, 121)])))
+    sets = {i: {tuple(t.split()[k:k + 5]) for k in range(len(t.split()) - 4)} for i, t in rows}
+    label = {i: i for i in sets}
+    for _ in range(10):
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        got = by_id(parity_join.near_duplicate_components(spark.createDataFrame(rows, "doc_id long, text string")))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", held)
+    assert {i: r["component_id"] for i, r in got.items()} == label
+
+
+def _nothing_is_near(percent):
+    def run(batches):
+        for batch in batches:
+            yield batch.select([0, 1]).slice(0, 0).rename_columns(["a", "b"])
+    return run
+
+
 def test_sketch_distance_is_a_lower_bound():
     rng = np.random.default_rng(1)
     a = rng.integers(0, 2**63, 700, dtype=np.uint64)
