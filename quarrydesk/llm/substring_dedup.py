@@ -1,9 +1,8 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup by an exact join of phrase hashes, in place of relative Lempel-Ziv parsing.
 
-The reference is the whole collection, indexed in blocks by the hash of its phrases (runs of k words, 13 by
-default), each with the smallest document it starts in. A document is parsed greedily against all blocks: a
-factor goes on while the next phrase is also indexed from an earlier document. A factor of fewer than k words
-cannot be one, and the phrases that reach over a factor's end are looked up as well, so no window is missed.
+Every phrase (run of k words, 13 by default) of every document is hashed, shuffled by its hash and looked up, each
+hash with the smallest document it starts in. A phrase that an earlier document has is a hit; neighbouring hits are
+merged into factors. There is no reference text to parse against, and every window is looked up, so none is missed.
 """
 
 from __future__ import annotations
