@@ -123,11 +123,13 @@ def fit_centroids(labelled: DataFrame, seed: int = 5, per_language: int = SAMPLE
     """
     wanted = labelled.select(F.col(label_col).alias("lang"), F.col(text_col).alias("text")).where(
         "lang IS NOT NULL AND text IS NOT NULL").where(has_letter(F.col("text")))
-    sizes = {r["lang"]: r["n"] for r in wanted.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    order = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30))
+    # copies count once here as in the sample
+    sizes = {r["lang"]: r["n"] for r in wanted.groupBy("lang").agg(F.count_distinct(order).alias("n")).collect()}
     if not sizes:
         return CentroidModel(np.ones(DIMENSIONS, np.float32), np.zeros((0, DIMENSIONS), np.float32), [], np.zeros((0, LENGTHS)))
     # the cut by hash keeps about the bound of each language, and the limit makes it one
-    order, share = F.pmod(F.xxhash64(F.lit(seed), "text"), F.lit(1 << 30)), F.lit(0.0)
+    share = F.lit(0.0)
     for lang, n in sizes.items():
         share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
     thin = wanted.where(order < share * (1 << 30)).select("lang", order.alias("order"), "text").dropDuplicates(

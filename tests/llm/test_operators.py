@@ -239,6 +239,13 @@ def test_paragraphs_of_no_learned_language_are_rejected(spark):
     assert found.where("rejected").count() <= 0.01 * found.count()
 
 
+def test_a_language_of_copies_is_learned(spark):
+    rows = [(f"le chat numero {chr(97 + i % 3) * 4}", "fr") for i in range(3000)] + [(f"the dog {i:b}".translate(
+        {48: "o", 49: "i"}), "en") for i in range(300)]
+    model = language_id.fit_centroids(spark.createDataFrame(rows, "text string, lang string"), per_language=3)
+    assert set(model.languages) == {"en", "fr"} and model.languages.count("fr") == 3
+
+
 def test_few_labelled_texts_reject_none_of_their_own(spark):
     own = spark.createDataFrame([(1, "one two three", "en"), (2, "un deux trois", "fr")], "doc_id long, text string, lang string")
     got = language_id.identify_languages(own, language_id.fit_centroids(own)).collect()
