@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrydesk.llm import (byte_bpe, decontaminate, imatch, language_id, parity_join, pii, quality, sharding,
-                            substring_dedup, token_counts)
+from quarrydesk.llm import (byte_bpe, decontaminate, imatch, language_id, parity_join, pii, prefix_trie, quality,
+                            sharding, substring_dedup, suffix_dedup, token_counts, vector_codes)
 from quarrydesk.llm.oracles import ORACLES
 from quarrydesk.session import write_out
 
@@ -126,6 +126,23 @@ def op10_benchmark_leaks(spark, sf_dir):
     return decontaminate.contaminated(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op11_suffix_dedup(spark, sf_dir):
+    return suffix_dedup.remove_repeated_bytes(documents(spark, sf_dir), with_text=False).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query
+def op12_vector_codes(spark, sf_dir):
+    codes, books = vector_codes.encode_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    return codes.select("vec_id", "code", "error", "label_error", F.lit(books.sha256()).alias("codebooks_sha256"))
+
+
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.branched_trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 @query
 def pipeline(spark, sf_dir):
     import corpus_pipeline
