@@ -88,6 +88,42 @@ def _vectors(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
     return rows / np.maximum(norm, 1e-12)
 
 
+#: A feature and its count or weight, as they travel.
+_ENTRY = np.dtype([("at", "<u2"), ("n", "<f4")])
+
+
+class Texts:
+    """The sample as sparse vectors of unit length; a copy is only ever made of a few rows."""
+
+    def __init__(self, begin: np.ndarray, entries: np.ndarray):
+        self.begin, self.at, sizes = begin, entries["at"], np.diff(begin)
+        seen = np.bincount(self.at, minlength=DIMENSIONS)
+        self.idf = (np.log((1 + len(sizes)) / (1 + seen)) + 1).astype(np.float32)
+        self.length = length_class(np.add.reduceat(np.append(entries["n"], 0), begin[:-1]) * (sizes > 0))
+        self.value = np.log1p(entries["n"])
+        self.value *= self.idf[self.at]
+        norm = np.sqrt(np.add.reduceat(np.append(self.value * self.value, 0), begin[:-1]))
+        self.value /= np.repeat(np.maximum(norm, 1e-12), sizes)
+
+    def _some(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        sizes = self.begin[rows + 1] - self.begin[rows]
+        entry = np.arange(sizes.sum()) + np.repeat(self.begin[rows] - np.cumsum(sizes) + sizes, sizes)
+        return sizes, self.at[entry], self.value[entry]
+
+    def cosines(self, rows: np.ndarray, centres: np.ndarray) -> np.ndarray:
+        out, turned = np.zeros((len(rows), len(centres)), np.float32), np.ascontiguousarray(centres.T)
+        for k in range(0, len(rows), _COUNT_ROWS):
+            sizes, at, value = self._some(rows[k:k + _COUNT_ROWS])
+            full = np.flatnonzero(sizes)
+            if len(full):
+                out[k + full] = np.add.reduceat(turned[at] * value[:, None], (np.cumsum(sizes) - sizes)[full], axis=0)
+        return out
+
+    def total(self, rows: np.ndarray) -> np.ndarray:
+        _, at, value = self._some(rows)
+        return np.bincount(at, value, minlength=DIMENSIONS).astype(np.float32)
+
+
 @dataclass(frozen=True)
 class CentroidModel:
     """Centroids of unit length with their languages; ``reject_below`` (centroid, length class) has the least cosines
@@ -99,17 +135,17 @@ class CentroidModel:
     reject_below: np.ndarray
 
 
-def _spherical_kmeans(vectors: np.ndarray, k: int, seed: int) -> np.ndarray:
+def _spherical_kmeans(texts: Texts, rows: np.ndarray, k: int, seed: int) -> np.ndarray:
     """Centroids from far-apart starts; ties go to the lower index, an empty cluster keeps its centre."""
     rng = np.random.default_rng(seed)
-    centres = [vectors[rng.integers(len(vectors))]]
-    while len(centres) < min(k, len(vectors)):
-        centres.append(vectors[np.argmin(np.max(vectors @ np.stack(centres).T, axis=1))])
+    centres = [texts.total(rows[[rng.integers(len(rows))]])]
+    while len(centres) < min(k, len(rows)):
+        centres.append(texts.total(rows[[np.argmin(texts.cosines(rows, np.stack(centres)).max(axis=1))]]))
     centres = np.stack(centres)
     for _ in range(ROUNDS):
-        near = np.argmax(vectors @ centres.T, axis=1)
+        near = texts.cosines(rows, centres).argmax(axis=1)
         for c in range(len(centres)):
-            if (total := vectors[near == c].sum(axis=0)).any():
+            if (total := texts.total(rows[near == c])).any():
                 centres[c] = total / np.linalg.norm(total)
     return centres
 
@@ -134,34 +170,38 @@ def fit_centroids(labelled: DataFrame, seed: int = 5, per_language: int = SAMPLE
         share = F.when(F.col("lang") == lang, min(1.0, per_language / n)).otherwise(share)
     thin = wanted.where(order < share * (1 << 30)).select("lang", order.alias("order"), "text").dropDuplicates(
         ["lang", "order"])
-    if not (rows := thin.mapInArrow(_features, "lang string, order long, counts binary").orderBy("order", "lang").limit(
-        2 * per_language * len(sizes)).collect()):
-        rows = wanted.select("lang", order.alias("order"), "text").orderBy("order").limit(per_language).mapInArrow(
-            _features, "lang string, order long, counts binary").collect()
-    counts = np.stack([_dense(r["counts"]) for r in rows])
-    seen = (counts > 0).sum(axis=0)
-    idf = (np.log((1 + len(rows)) / (1 + seen)) + 1).astype(np.float32)
-    vectors = _vectors(counts, idf)
-    lang = np.array([r["lang"] for r in rows])
-    names, centres = _centroids(vectors, lang, k, seed)
-    return CentroidModel(idf, centres, names, _cuts(vectors, lang, length_class(counts), names, k, seed))
-
-
-def _centroids(vectors: np.ndarray, lang: np.ndarray, k: int, seed: int) -> tuple[list[str], np.ndarray]:
+    features = "lang string, order long, counts binary"
+    sample = thin.mapInArrow(_features, features).orderBy("order", "lang").limit(2 * per_language * len(sizes)).toArrow()
+    if not sample.num_rows:
+        sample = wanted.select("lang", order.alias("order"), "text").orderBy("order").limit(per_language).mapInArrow(
+            _features, features).toArrow()
+    cells = sample.column("counts").combine_chunks().cast(pa.large_binary())
+    cells = cells if isinstance(cells, pa.Array) else cells.chunk(0)
+    offsets = np.frombuffer(cells.buffers()[1], np.int64)[cells.offset:cells.offset + len(cells) + 1]
+    entries = np.frombuffer(cells.buffers()[2], np.uint8)[offsets[0]:offsets[-1]].view(_ENTRY)
+    texts = Texts((offsets - offsets[0]) // _ENTRY.itemsize, entries)
+    lang = np.array(sample.column("lang").to_pylist())
+    del sample, cells, entries
+    names, centres = _centroids(texts, np.arange(len(lang)), lang, k, seed)
+    return CentroidModel(texts.idf, centres, names, _cuts(texts, lang, names, k, seed))
+
+
+def _centroids(texts: Texts, rows: np.ndarray, lang: np.ndarray, k: int, seed: int) -> tuple[list[str], np.ndarray]:
     names, centres = [], []
-    for name in sorted(set(lang.tolist())):
-        own = _spherical_kmeans(vectors[lang == name], k, seed)
+    for name in sorted(set(lang[rows].tolist())):
+        own = _spherical_kmeans(texts, rows[lang[rows] == name], k, seed)
         centres.append(own)
         names += [name] * len(own)
     return names, np.concatenate(centres).astype(np.float32)
 
 
-def length_class(counts: np.ndarray) -> np.ndarray:
-    size = np.maximum(counts.sum(axis=1), 1)
+def length_class(size: np.ndarray) -> np.ndarray:
+    """By the number of n-grams."""
+    size = np.maximum(size, 1)
     return np.minimum(np.log(size) / np.log(LENGTH_STEP) + 1e-6, LENGTHS - 1).astype(np.int64)
 
 
-def _cuts(vectors: np.ndarray, lang: np.ndarray, length: np.ndarray, names: list[str], k: int, seed: int) -> np.ndarray:
+def _cuts(texts: Texts, lang: np.ndarray, names: list[str], k: int, seed: int) -> np.ndarray:
     """The least cosine that is no outlier for each centroid and length class.
 
     Each half of a language's texts is judged by centroids of the other half, as texts lie too near to their own. Where
@@ -175,12 +215,12 @@ def _cuts(vectors: np.ndarray, lang: np.ndarray, length: np.ndarray, names: list
     for h in (0, 1):
         if not (half != h).any():
             continue
-        fitted, centres = _centroids(vectors[half != h], lang[half != h], k, seed)
-        own = (half == h) & np.isin(lang, fitted)
-        near = vectors[own] @ centres.T
+        fitted, centres = _centroids(texts, np.flatnonzero(half != h), lang, k, seed)
+        own = np.flatnonzero((half == h) & np.isin(lang, fitted))
+        near = texts.cosines(own, centres)
         found += [fitted[b] for b in near.argmax(axis=1)]
         cosine.append(near.max(axis=1))
-        size.append(length[own])
+        size.append(texts.length[own])
     if not found:
         return np.zeros((len(names), LENGTHS))
     found, cosine, size = np.array(found), np.concatenate(cosine), np.concatenate(size)
@@ -206,30 +246,24 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sparse(row: np.ndarray) -> bytes:
-    at = np.flatnonzero(row)
-    return np.stack([at.astype(np.float32), row[at]]).tobytes()
-
-
-def _dense(cell: bytes) -> np.ndarray:
-    at, values = np.frombuffer(cell, np.float32).reshape(2, -1)
-    out = np.zeros(DIMENSIONS, dtype=np.float32)
-    out[at.astype(np.int64)] = values
-    return out
+    out = np.zeros(len(at := np.flatnonzero(row)), _ENTRY)
+    out["at"], out["n"] = at, row[at]
+    return out.tobytes()
 
 
 def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _scorer(model):
-    schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("rejected", pa.bool_())])
+def _scorer(model, names_out: list[str]):
+    text_at, lettered_at = places = (len(names_out) - 3, len(names_out) - 2)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         for batch in batches:
-            for piece in slices(batch):
+            for piece in slices(batch, "_lid_text"):
                 names, scores, cuts = [], [], []
-                for counts in ngram_counts(piece.column(1)):
+                for counts in ngram_counts(piece.column(text_at)):
                     if not known.languages:
                         names += [UNDETERMINED] * len(counts)
                         scores += [0.0] * len(counts)
@@ -239,25 +273,33 @@ def _scorer(model):
                     best = np.argmax(cosine, axis=1)
                     names += [known.languages[b] for b in best]
                     scores += np.clip(cosine[np.arange(len(best)), best], 0, 1).tolist()
-                    cuts += known.reject_below[best, length_class(counts)].tolist()
-                lettered = piece.column(2).to_numpy(zero_copy_only=False)
+                    cuts += known.reject_below[best, length_class(counts.sum(axis=1))].tolist()
+                lettered = piece.column(lettered_at).to_numpy(zero_copy_only=False)
                 scores = np.where(lettered, np.array(scores, dtype=np.float64), 0.0)
                 names = [name if x else UNDETERMINED for name, x in zip(names, lettered)]
-                yield pa.RecordBatch.from_arrays(
-                    [piece.column(0), pa.array(names, pa.string()), pa.array(scores), pa.array(
-                        ~lettered | (scores < np.array(cuts, dtype=np.float64)))], schema=schema)
+                kept = [piece.column(k) for k in range(piece.num_columns) if k not in places]
+                yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores), pa.array(
+                    ~lettered | (scores < np.array(cuts, dtype=np.float64)))], names=names_out)
     return run
 
 
-def identify_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score, rejected`` of whole texts: the nearest centroid's language and its cosine.
+def with_language(docs: DataFrame, model: CentroidModel, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``lang_pred, score, rejected`` of whole texts, row by row: the nearest centroid's language and its cosine.
 
     Null texts and texts without a letter are ``und`` with score 0 and rejected; other texts further away than
-    ``model.reject_below`` has for their length keep their nearest language and are rejected. Ties go to the first language by name.
-    Null ids stay null, repeated rows are scored each, an empty table gives none. The model is broadcast: its size
-    is ``DIMENSIONS`` times the centroids, whatever the data.
+    ``model.reject_below`` has for their length keep their nearest language and are rejected. Ties go to the first language
+    by name. Repeated rows are scored each; columns of the three names give way; an empty table gives none. The model is
+    broadcast: its size is ``DIMENSIONS`` times the centroids, whatever the data.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    plain = docs.drop("lang_pred", "score", "rejected")
     text = F.col(text_col).cast("string")
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text.alias("text"), has_letter(text).alias("lettered")).mapInArrow(
-        _scorer(shared), "doc_id long, lang_pred string, score double, rejected boolean")
+    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields]
+    asked = plain.select("*", text.alias("_lid_text"), has_letter(text).alias("_lid_lettered"))
+    return asked.mapInArrow(_scorer(shared, [*plain.columns, "lang_pred", "score", "rejected"]), ", ".join([*kinds, "lang_pred string", "score double", "rejected boolean"]))
+
+
+def identify_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``doc_id, lang_pred, score, rejected`` of ``with_language``. Null ids stay null."""
+    plain = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return with_language(plain, model).drop("text")
