@@ -70,9 +70,11 @@ def shard_exactly(rows: DataFrame, key: list[str], shards: int = 8, parts: int |
     ``key`` are the columns whose values tell rows apart. Rows equal in all of them are put in any order,
     which nobody can tell. Nulls are values like others. No rows give no rows. Only the row counts of ``parts``
     parts (the shuffle partitions unless given) reach the driver. Slots come from counts of fine ranges of a random
-    order, so no task holds a whole shard. Columns of ``rows`` named shard, slot or with a leading ``_sx_`` clash.
+    order, so no task holds a whole shard. Whole rows move. Columns of ``rows`` named shard or slot give way to the new ones
+    and may not be in ``key``.
     """
     spark = rows.sparkSession
+    rows = rows.drop("shard", "slot")
     parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     random = [F.xxhash64(F.lit(seed + k), *key) for k in range(3)]
     dealt = rows.withColumns({"_sx_part": F.pmod(random[0], F.lit(parts)).cast("int"), "_sx_order": random[1]})
