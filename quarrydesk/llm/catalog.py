@@ -76,14 +76,18 @@ def op6_imatch_fingerprints(spark, sf_dir):
     terms = write_out(imatch.lexicon(docs), "lexicon")
     pairs = imatch.with_next(docs)
     edited = imatch.half_edited(F.col("text"), F.col("next_text"))
-    own = pairs.select("doc_id", "next_id", F.length("text").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
-    both = pairs.select("doc_id", F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"),
-                                                    F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("v"))
-    prints = write_out(imatch.fingerprints(both.select("doc_id", "v.kind", "v.text"), terms, ["doc_id", "kind"]), "prints")
-    plain = prints.where("kind = 0").select("doc_id", F.col("prints").alias("own"))
-    changed = prints.where("kind = 1").select("doc_id", F.col("prints").alias("edited"))
-    following = plain.select(F.col("doc_id").alias("next_id"), F.col("own").alias("following"))
-    out = own.join(plain, "doc_id").join(changed, "doc_id").join(following, "next_id")
+    key = ["doc_id", "repeat"]
+    own = pairs.select(*key, "next_id", F.xxhash64("next_text").alias("next_key"), F.xxhash64("text").alias("text_key"), "copy",
+                       F.length("text").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
+    both = pairs.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"),
+                                                F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("v"))
+    prints = write_out(imatch.fingerprints(both.select(*key, "v.kind", "v.text"), terms, [*key, "kind"]), "prints")
+    plain = prints.where("kind = 0").select(*key, F.col("prints").alias("own"))
+    changed = prints.where("kind = 1").select(*key, F.col("prints").alias("edited"))
+    out = own.join(plain, key).join(changed, key)
+    # of equal rows the first one stands for the text
+    following = out.where(~F.col("copy")).select(F.col("doc_id").alias("next_id"), F.col("text_key").alias("next_key"), F.col("own").alias("following"))
+    out = out.join(following, ["next_id", "next_key"])
     return out.select("doc_id", "n_chars", "edited_sha256", imatch.shown(F.col("own")).alias("fingerprint"),
                       imatch.shown(F.col("edited")).alias("edited_fingerprint"),
                       imatch.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
@@ -92,8 +96,8 @@ def op6_imatch_fingerprints(spark, sf_dir):
 
 @query
 def op7_personal_data(spark, sf_dir):
-    docs = documents(spark, sf_dir)
-    found = pii.find_personal_data(docs, pii.train_spans(docs))
+    seen = write_out(pii.candidates(documents(spark, sf_dir)).drop("text"), "candidates")
+    found = pii.find_personal_data(seen, pii.train_spans(seen))
     counts = [F.size(F.filter("pii_base", _of_kind(k))).cast("long").alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)]
     return found.select("doc_id", *counts, F.sha2(pii.listed(F.col("pii_base")), 256).alias("base_sha256"),
                         pii.listed(F.col("pii_spans")).alias("spans"))
@@ -106,11 +110,12 @@ def _of_kind(k: int):
 @query
 def op8_exact_shards(spark, sf_dir):
     text = F.coalesce("text", F.lit(""))
-    rows = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"),
-                                           F.crc32(text.cast("binary")).alias("text_crc32"))
-    return sharding.shard_exactly(rows, ["doc_id", "size", "text_crc32"], 8).select(
-        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"),
-        F.col("slot").cast("long").alias("slot"), F.lit(None).cast("int").alias("grown_shard"))
+    rows = documents(spark, sf_dir).withColumns({"size": (F.octet_length(text) + 1).cast("long"), "text_crc32": F.crc32(text.cast("binary"))})
+    shards = sharding.shard_exactly(rows, ["doc_id", "size", "text_crc32"], 8)
+    moved = F.coalesce("text", F.lit(""))
+    return shards.select("doc_id", (F.octet_length(moved) + 1).cast("long").alias("size"), F.crc32(moved.cast("binary")).alias("text_crc32"),
+                         F.lit("rows").alias("law"), F.col("shard").cast("int").alias("shard"), F.col("slot").cast("long").alias("slot"),
+                         F.lit(None).cast("int").alias("grown_shard"))
 
 
 @query

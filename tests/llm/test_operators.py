@@ -3,6 +3,7 @@
 import base64
 import hashlib
 import re
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -166,13 +167,14 @@ def test_allocation_rules():
 
 
 def test_personal_data_equals_the_patterns(docs, empty):
-    found = by_id(pii.find_personal_data(docs, pii.train_spans(docs)).select(
-        "doc_id", pii.listed(F.col("pii_base")).alias("base"), pii.masked(F.col("text"), F.col("pii_spans")).alias("text")))
+    seen = pii.candidates(docs)
+    found = pii.find_personal_data(seen, pii.train_spans(seen)).withColumn("base", pii.listed(F.col("pii_base")))
+    found = by_id(pii.masked(found).select("doc_id", "base", "text"))
     assert found[16]["base"] == "email:5:13,phone:17:34,ip:36:44,card:49:68"
     assert found[17]["base"] == "email:0:5,email:5:11"
     assert found[16]["text"] == "mail [EMAIL] or [PHONE], [IP] and [CARD], 999.1.1.1"
     assert found[5]["text"] is None and all(not found[i]["base"] for i in TEXTS if i not in (16, 17))
-    assert pii.find_personal_data(empty, pii.train_spans(empty)).count() == 0
+    assert pii.find_personal_data(pii.candidates(empty), pii.train_spans(pii.candidates(empty))).count() == 0
 
 
 def test_shards_are_exact_and_repeatable(spark, empty):
@@ -289,3 +291,95 @@ def test_index_blocks_lose_nothing():
         _, items = searcher.candidates(np.zeros(len(term), np.int64), term)
         wanted = {i for i in range(80) if searcher.score(passage, i) >= decontaminate.SCORE_SHARE}
         assert wanted <= set(items.tolist())
+
+
+def plain_spans(text):
+    """The four base patterns by Python's ``re``, from the contract's words."""
+    patterns = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+                "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}
+
+    def luhn(d):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+    out = []
+    for k, (kind, pattern) in enumerate(patterns.items()):
+        for m in re.finditer(pattern, text or ""):
+            digits = re.sub("[^0-9]", "", m[0])
+            good = {"email": True, "ip": all(int(p) <= 255 for p in m[0].split(".")) if kind == "ip" else False,
+                    "card": 14 <= len(digits) <= 19 and luhn(digits), "phone": 10 <= len(digits) <= 15}[kind]
+            if good:
+                out.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+    return ",".join(x[2] for x in sorted(out))
+
+
+def test_base_spans_of_whole_tables_equal_plain_patterns(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    odd = [(10**6, "🎉 a@b.co é x@y.de,+1 (988) 555-2485 1.2.3.4.5 256.1.1.1 4111-1111-1111-1111 0004111 1111 1111 1111"), (10**6 + 1, None),
+           (10**6 + 2, "++1 2345678901 +12345678901234567 1..2.3.4 a@b a@b.c@d.e.f @x.y"), (None, "a@b.c"), (None, "a@b.c")]
+    docs = given.unionByName(spark.createDataFrame(odd, given.schema)).withColumn("pii_base", F.lit("clash"))
+    rows = pii.candidates(docs).select("doc_id", "text", pii.listed(F.col("pii_base")).alias("base")).collect()
+    assert len(rows) == docs.count()
+    assert [r["base"] for r in rows] == [plain_spans(r["text"]) for r in rows]
+
+
+def test_a_long_list_of_addresses(spark):
+    """Fifty thousand matches in one text; a plan that looks back at all of them would take hours."""
+    many = " ".join(f"u{i}@mail.org" for i in range(50_000))
+    docs = spark.createDataFrame([(1, many), (2, "call (212) 555-1234 or 212-555-9999 +1 212 555 7777")], "doc_id long, text string")
+    began = time.time()
+    seen = pii.candidates(docs)
+    found = pii.find_personal_data(seen, pii.fit_votes([]))
+    got = by_id(pii.masked(found).select("doc_id", "text", F.size("pii_base").alias("n")))
+    assert got[1]["n"] == 50_000 and got[1]["text"] == " ".join(["[EMAIL]"] * 50_000)
+    assert got[2]["text"].endswith("[PHONE]")
+    assert time.time() - began < 60
+
+
+def test_loose_spans_beside_base_spans_stay_apart(spark):
+    texts = [(1, "4111 1111 1111 1111 4111 1111 1111 1112 +1 212 555 7777 (212) 555-1234"), (2, "a(at)b.de c@d.de (212) 555-1234 10.0.0.1")]
+    for r in pii.candidates(spark.createDataFrame(texts, "doc_id long, text string")).collect():
+        for s in r["pii_loose"]:
+            assert all(s["end"] <= b["start"] or b["end"] <= s["start"] for b in r["pii_base"])
+            assert r["text"][s["start"]:s["end"]] == s["value"]
+
+
+def test_prints_of_repeated_rows(spark, tmp_path):
+    words = [f"t{i % 40}" for i in range(400)]
+    rows = [(i, " ".join(words[i * 3:i * 3 + 60])) for i in range(60)]
+    rows += [(5, rows[5][1]), (5, rows[5][1]), (7, rows[9][1]), (70, rows[5][1]), (71, None), (72, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = catalog.op6_imatch_fingerprints(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows)
+    prints, texts = {}, sorted(((i, t or "") for i, t in rows))
+    for r in got:
+        prints.setdefault((r["doc_id"], r["n_chars"]), set()).add(r["fingerprint"])
+    for i in (5, 70):
+        assert prints[(i, len(rows[5][1]))] == {next(iter(prints[(5, len(rows[5][1]))]))}
+    want = []
+    for k, (i, t) in enumerate(texts):
+        after = texts[k - 1][1]
+        half = len(t) // 2
+        edited = t[:len(t) - half] + after[:half]
+        want.append((i, len(t), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted((r["doc_id"], r["n_chars"], r["edited_sha256"]) for r in got) == sorted(want)
+    assert {r["near_next"] for r in got if r["doc_id"] == 5} >= {1.0}
+
+
+def test_shards_hold_whole_rows(spark):
+    rows = spark.createDataFrame([(i % 30, f"text {i}", 9, "x") for i in range(200)], "doc_id long, text string, slot int, shard string")
+    got = sharding.shard_exactly(rows, ["doc_id", "text"], 8)
+    assert got.columns == ["doc_id", "text", "shard", "slot"]
+    held = got.collect()
+    assert sorted((r["doc_id"], r["text"]) for r in held) == sorted((i % 30, f"text {i}") for i in range(200))
+    for s in range(8):
+        assert sorted(r["slot"] for r in held if r["shard"] == s) == list(range(25))
+
+
+def test_language_columns_pass_through(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language_id.fit_centroids(given.select("lang", "text"))
+    clash = given.withColumn("score", F.lit("s")).withColumn("lang_pred", F.lit(3))
+    got = language_id.with_language(clash, model)
+    assert got.columns == [*given.columns, "lang_pred", "score", "rejected"]
+    both = got.join(language_id.identify_languages(given, model).select("doc_id", F.col("lang_pred").alias("l"), F.col("score").alias("s")), "doc_id")
+    assert both.where("lang_pred <> l OR score <> s").count() == 0 and both.count() == given.count()
+    assert got.select(*given.columns).exceptAll(given).count() == 0
