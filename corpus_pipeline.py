@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from quarrydesk.llm import byte_bpe, decontaminate, language_id, parity_join, pii
 from quarrydesk.llm.catalog import vocabulary
-from quarrydesk.session import scratch_path
+from quarrydesk.session import scratch_path, write_out
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -18,11 +18,10 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the centroids of the labelled texts reject go: nulls, texts without a letter, far outliers.
 
-    ``lang`` becomes the predicted language. Rows of one id are judged by the row that is nearest to a centroid.
+    ``lang`` becomes the predicted language. Each row is judged by itself; rows without an id go.
     """
-    found = language_id.identify_languages(docs, language_id.fit_centroids(docs.select("lang", "text")))
-    kept = found.where("NOT rejected AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.max_by("lang_pred", "score").alias("found"))
-    return docs.join(kept, "doc_id").withColumn("lang", F.col("found")).select(*COLUMNS)
+    found = language_id.with_language(docs, language_id.fit_centroids(docs.select("lang", "text")))
+    return found.where("NOT rejected AND doc_id IS NOT NULL").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,14 +34,15 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def drop_benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
     hits = decontaminate.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(hits.select("doc_id").distinct(), "doc_id", "left_anti").select(*COLUMNS)
+    # the ids are written first, so their size is known before the texts would move
+    return docs.join(write_out(hits.select("doc_id").distinct(), "leaks"), "doc_id", "left_anti").select(*COLUMNS)
 
 
 def mask_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Spans of personal data give way to their kinds in brackets; no document goes."""
-    found = pii.find_personal_data(docs, pii.train_spans(docs))
-    clean = pii.masked(F.col("text"), F.col("pii_spans"))
-    return found.withColumn("text", clean).withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
+    seen = write_out(pii.candidates(docs), "candidates")
+    clean = pii.masked(pii.find_personal_data(seen, pii.train_spans(seen)))
+    return clean.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
