@@ -39,10 +39,10 @@ def ticket_terms(df: DataFrame, vocabulary: DataFrame) -> DataFrame:
     return named.select(F.col("doc").alias(ROW_SEQ), "term", F.col("weight").alias("x"))
 
 
-def near_duplicates(spark: SparkSession, sf: str) -> neardup.NearDuplicates:
-    key = f"{spark.sparkContext.applicationId}|{sf}"
+def near_duplicates(spark: SparkSession, sf: str, threshold: float = neardup.AUDIT_THRESHOLD) -> neardup.NearDuplicates:
+    key = f"{spark.sparkContext.applicationId}|{sf}|{threshold}"
     if key not in _FOUND:
-        _FOUND[key] = neardup.find_near_duplicates(tables.clean_tickets(spark, sf), neardup.AUDIT_THRESHOLD)
+        _FOUND[key] = neardup.find_near_duplicates(tables.clean_tickets(spark, sf), threshold)
     return _FOUND[key]
 
 
@@ -109,6 +109,13 @@ def vector_queries(spark: SparkSession, sf: str) -> DataFrame:
     return tables.table(spark, sf, "embeddings").select(F.col("vec_id").cast("string").alias("query_id"), "embedding")
 
 
+def turned_vectors(spark: SparkSession, sf: str, turns: int = 10) -> DataFrame:
+    """Every vector with its components moved round by 0 to ``turns - 1`` places."""
+    rows = tables.table(spark, sf, "embeddings").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(turns - 1))).alias("s"))
+    return rows.select(F.concat_ws(":", "vec_id", "s").alias("query_id"), F.concat(
+        F.slice("embedding", F.col("s") + 1, F.size("embedding")), F.slice("embedding", F.lit(1), F.col("s"))).alias("embedding"))
+
+
 def requests(spark: SparkSession, sf: str) -> DataFrame:
     """Request rows from conversation turns, some out of bounds."""
     turns = tables.table(spark, sf, "conversations")

@@ -254,6 +254,25 @@ top AS MATERIALIZED (
   FROM tiers QUALIFY position < {n})"""
 
 
+def scaled_rows(columns: list[str]) -> str:
+    """Non-zero standardised numbers of test tickets, filled with the train median."""
+    out = ""
+    for c in columns:
+        v = f"cast({c} AS double)"
+        filled = f"coalesce({v}, (SELECT median({v}) FROM train))"
+        out += f""" UNION ALL SELECT row_seq, 'num:{c}', round(z, 6) FROM (
+          SELECT row_seq, ({filled} - (SELECT avg({filled}) FROM train))
+            / (SELECT CASE WHEN stddev_pop({filled}) > 0 THEN stddev_pop({filled}) ELSE 1.0 END FROM train) AS z FROM test) WHERE z <> 0"""
+    return out
+
+
+REJECTS = f"""WITH {RAW} SELECT ticket_id, reason AS reject_reason FROM (
+  SELECT ticket_id, CASE
+    WHEN ticket_text IS NULL OR trim(regexp_replace(ticket_text, '\\s+', ' ', 'g')) = '' THEN 'blank text'
+    WHEN previous_tickets < 0 THEN 'negative previous_tickets'
+    WHEN {STAMP} IS NULL THEN 'malformed created_at' END AS reason FROM tickets_raw) WHERE reason IS NOT NULL"""
+
+
 def _nulls(columns: list[str], pct: bool = True) -> str:
     return " UNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) FILTER ({c} IS NULL) AS n, "
@@ -295,8 +314,8 @@ FROM (SELECT true AS same_customer UNION ALL SELECT false) sc"""
 
 ORACLES: dict[str, str] = {
     "csv_source": f"WITH {RAW} SELECT * EXCLUDE (row_seq) REPLACE (nullif(created_at, '') AS created_at) FROM tickets_raw",
-    "clean_table_round_trip": f"""WITH {CLEAN} SELECT strftime(created_at, '%Y-%m') AS created_month, count(*) AS n,
-        cast(sum(length(ticket_text)) AS bigint) AS chars, round(sum(resolution_time), 4) AS hours FROM tickets_clean GROUP BY 1""",
+    "clean_table_round_trip": f"""WITH {CLEAN} SELECT * REPLACE (strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at) FROM tickets_clean""",
+    "clean_csv_files": f"""WITH {CLEAN} SELECT * EXCLUDE (row_seq) REPLACE (strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at) FROM tickets_clean""",
     "stored_vocabulary": f"WITH {TRAIN_FIT} SELECT term, idx, df, round(idf, 6) AS idf FROM vocabulary",
     "stored_metrics": f"""WITH {CLASSES} SELECT 'fixture-run' AS run_id, metric, round(value, 6) AS value FROM (
         SELECT 'accuracy' AS metric, sum(hit) / sum(support) AS value FROM rates UNION ALL
@@ -440,7 +459,7 @@ ORACLES: dict[str, str] = {
     "leakage_guard": f"""WITH {CLEAN}, c AS ({' UNION ALL '.join(f"SELECT '{c}' AS feature, count({c}) AS filled FROM tickets_clean" for c in CLEAN_COLUMNS)})
         SELECT feature, CASE WHEN feature IN ('resolution_time', 'resolved') THEN 'post-outcome'
           WHEN feature IN ('ticket_text', 'product', 'previous_tickets', 'hour_of_day', 'day_of_week', 'month') THEN 'model input' ELSE 'not used' END AS role,
-          CASE WHEN feature IN ('resolution_time', 'resolved') THEN 'Unknown at ticket creation time' END AS reason, filled FROM c""",
+          CASE feature WHEN 'resolution_time' THEN 'filled in when a ticket is closed' WHEN 'resolved' THEN 'set when a ticket is closed' END AS reason, filled FROM c""",
     "random_row_split": f"WITH {CLEAN}{SPLIT_RANDOM} SELECT ticket_id, split FROM split",
     "customer_disjoint_split": f"WITH {CLEAN}{SPLIT_CUSTOMER} SELECT ticket_id, customer_id, split FROM split",
     "random_split_overlap": f"WITH {CLEAN}{SPLIT_RANDOM}, {OVERLAP}",
@@ -448,17 +467,23 @@ ORACLES: dict[str, str] = {
     "stratified_folds": f"""WITH {CLEAN} SELECT ticket_id, category,
         (row_number() OVER (PARTITION BY category ORDER BY md5('42:' || ticket_id)) - 1) % 5 AS fold FROM tickets_clean""",
     "retrieval_index": f"""WITH {INDEX} SELECT ticket_id, product, category, priority, text, len(v) AS dim, round(list_inner_product(v, v), 6) AS squared_norm FROM idx""",
-    "retrieval_index_properties": f"WITH {INDEX} SELECT count(*) AS total_records, max(len(v)) AS embedding_dim, 'given vectors' AS model_name FROM idx",
+    "retrieval_index_properties": f"WITH {INDEX} SELECT count(*) AS total_records, max(len(v)) AS embedding_dim, 'given vectors' AS model_name, true AS dated FROM idx",
     "similar_tickets": f"""WITH {knn(5)} SELECT query_id, rank, ticket_id, round(score, 4) AS similarity, category, priority, product,
         {PREVIEW} AS preview, text FROM knn JOIN idx USING (ticket_id)""",
     "similar_tickets_of_text": f"""WITH {knn(3, "q.ticket_text IS NOT NULL AND trim(regexp_replace(q.ticket_text, '[[:space:]]+', ' ', 'g')) <> ''")}
         SELECT query_id, rank, ticket_id, round(score, 4) AS similarity, {PREVIEW} AS preview FROM knn JOIN idx USING (ticket_id)""",
-    "high_matches": f"""WITH {knn(10)} SELECT query_id, count(*) FILTER (round(score, 4) >= 0.7) AS high_matches, count(*) AS results FROM knn GROUP BY 1""",
+    "high_matches": f"""WITH {knn(10)} SELECT query_id, rank, ticket_id, round(score, 4) >= 0.7 AS high_match FROM knn""",
+    "similar_tickets_of_many": f"""WITH {INDEX}, asked AS (
+        SELECT concat(vec_id, ':', s) AS query_id, list_concat(v[s + 1:], v[1:s]) AS v FROM idx, (SELECT unnest(range(10)) AS s)),
+        scored AS (SELECT query_id, ticket_id, round(list_inner_product(asked.v, idx.v), 9) AS score FROM asked CROSS JOIN idx)
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ticket_id) AS rank, ticket_id, round(score, 6) AS score
+        FROM scored QUALIFY rank <= 3""",
     "index_append": f"""WITH {CLEAN}, i AS (SELECT concat('V-', cast(vec_id AS string)) AS ticket_id, concat('src', cast(vec_id % 20 AS string)) AS product,
         cast(label AS string) AS category, vec_id FROM embeddings)
         SELECT ticket_id, product, category FROM i WHERE vec_id NOT IN (SELECT row_seq FROM tickets_clean)""",
-    "index_upsert": f"""WITH {CLEAN}, i AS (SELECT vec_id, coalesce(r.priority, 'Unknown') AS priority FROM embeddings LEFT JOIN tickets_raw r ON r.row_seq = vec_id)
-        SELECT CASE WHEN vec_id IN (SELECT row_seq FROM tickets_clean) THEN 'REVIEWED' ELSE priority END AS priority, count(*) AS n FROM i GROUP BY 1""",
+    "index_upsert": f"""WITH {CLEAN}, i AS (SELECT vec_id, label, coalesce(r.priority, 'Unknown') AS priority FROM embeddings LEFT JOIN tickets_raw r ON r.row_seq = vec_id)
+        SELECT concat('V-', cast(vec_id AS string)) AS ticket_id, concat('src', cast(vec_id % 20 AS string)) AS product, cast(label AS string) AS category,
+        CASE WHEN vec_id IN (SELECT row_seq FROM tickets_clean) THEN 'REVIEWED' ELSE priority END AS priority FROM i""",
     "metric_summary": f"""WITH {CLASSES} SELECT round(sum(hit) / sum(support), 6) AS accuracy, round(avg(f1), 6) AS macro_f1,
         round(sum(f1 * support) / sum(support), 6) AS weighted_f1, cast(sum(support) AS bigint) AS rows FROM rates""",
     "classification_report": f"""WITH {CLASSES}, r AS (
@@ -536,7 +561,32 @@ ORACLES: dict[str, str] = {
     "streaming_resubmissions": f"""WITH {STAGED}, rowwise AS (
         SELECT * REPLACE (greatest(coalesce(previous_tickets, 0.0), 0.0) AS previous_tickets, {CAPPED} AS resolution_time) FROM staged),
         forms AS (SELECT DISTINCT {KEYS} FROM rowwise)
-        SELECT customer_id, product, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, priority, category, length(ticket_text) AS chars FROM forms""",
+        SELECT customer_id, product, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at, priority, category, ticket_text, previous_tickets,
+               resolution_time, resolved FROM forms""",
+    "streaming_volume_late": f"""WITH {STAGED}, span AS (SELECT min(epoch(created_at)) AS low, max(epoch(created_at)) AS high FROM (
+          SELECT {STAMP} AS created_at FROM tickets_raw))
+        SELECT strftime(date_trunc('day', created_at), '%Y-%m-%d %H:%M:%S') AS window_start, product, count(*) AS n
+        FROM staged, span WHERE NOT ((epoch(created_at) - low) / (high - low + 1) < 1.0::double / 3 AND row_seq % 7 = 3) GROUP BY ALL""",
+    "triage_rejects": REJECTS, "streaming_rejects": REJECTS,
+    "near_duplicate_ticket_pairs": f"""WITH {NEAR} SELECT least(x.ticket_id, y.ticket_id) AS ticket_id_1, greatest(x.ticket_id, y.ticket_id) AS ticket_id_2,
+          CASE WHEN x.ticket_id < y.ticket_id THEN x.customer_id ELSE y.customer_id END AS customer_id_1,
+          CASE WHEN x.ticket_id < y.ticket_id THEN y.customer_id ELSE x.customer_id END AS customer_id_2,
+          CASE WHEN x.ticket_id < y.ticket_id THEN x.ticket_text ELSE y.ticket_text END AS text_1,
+          CASE WHEN x.ticket_id < y.ticket_id THEN y.ticket_text ELSE x.ticket_text END AS text_2,
+          round(cosine, 4) AS similarity_score, x.customer_id = y.customer_id AS same_customer
+        FROM near JOIN tickets_clean x ON x.row_seq = r1 JOIN tickets_clean y ON y.row_seq = r2
+        WHERE cosine >= 0.9 - 1e-9 AND (r1 % 50 = 0 OR r2 % 50 = 0)""",
+    "fused_features": f"""WITH {TRAIN_FIT}{TEST_VEC} SELECT row_seq, 'word:' || term AS name, round(w, 6) AS x FROM test_vec
+        UNION ALL SELECT row_seq, 'cat:product_' || product, 1.0 FROM test WHERE product IN (SELECT product FROM train)
+        {scaled_rows(["previous_tickets", "hour_of_day", "day_of_week", "month"])}""",
+    "leaky_features": f"""WITH {TRAIN}, dropped AS (SELECT 1) SELECT NULL::BIGINT AS row_seq, '' AS name, 0.0::double AS x WHERE false
+        {scaled_rows(["previous_tickets", "hour_of_day", "day_of_week", "month", "resolution_time", "resolved"])}""",
+    "linear_fit_ends": f"""WITH {TRAIN} SELECT 'svm' AS model, f AS fold, category AS label, true AS ended
+        FROM (SELECT unnest(range(5)) AS f), (SELECT DISTINCT category FROM train)
+        UNION ALL SELECT 'lr', 0, category, true FROM (SELECT DISTINCT category FROM train)""",
+    "boosting_losses": "SELECT unnest(range(1, 301)) AS round, true AS not_raised",
+    "projection_basis": """SELECT k, m, CASE WHEN k = m THEN 1.0::double ELSE 0.0 END AS product
+        FROM (SELECT unnest(range(50)) AS k), (SELECT unnest(range(50)) AS m)""",
     "streaming_index": f"""WITH {STAGED} SELECT ticket_id, product, category, priority, 64 AS dim FROM staged
         WHERE ticket_id NOT IN (SELECT concat('V-', cast(vec_id AS string)) FROM embeddings)""",
 }

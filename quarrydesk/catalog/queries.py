@@ -11,11 +11,12 @@ from pyspark.sql import functions as F
 from quarrydesk.catalog import derived as D
 from quarrydesk.functions import numeric, ranking, text
 from quarrydesk.functions.encoders import load_hashing_encoder
-from quarrydesk.operators import (audit, calibration, cleaning, dedupe, explain, features, metrics, models, neardup,
-                                  reports, retrieval, routing, splits)
+from quarrydesk.operators import (audit, calibration, cleaning, dedupe, explain, features, linear_fit, metrics, models,
+                                  neardup, reports, retrieval, routing, splits)
 from quarrydesk.operators import tfidf as tf
+from quarrydesk.plans import cleaning as cleaning_plan
 from quarrydesk.plans import training, triage
-from quarrydesk.schema import ROW_SEQ
+from quarrydesk.schema import NUMERIC_FEATURES, POST_OUTCOME_FEATURES, ROW_SEQ
 from quarrydesk.session import scratch_path
 from quarrydesk.sources import metrics_store, tables, tickets
 from quarrydesk.streaming import jobs
@@ -47,17 +48,25 @@ def _clean(spark: SparkSession, sf: str) -> DataFrame:
 def csv_source(spark, sf):
     path = scratch_path(spark, "raw_csv")
     tickets.write_tickets(_raw(spark, sf).drop(ROW_SEQ), path, "csv")
-    good, _ = tickets.split_corrupt(tickets.read_raw_csv(spark, path))
+    good, _ = tickets.split_corrupt(tickets.read_raw_csv(spark, path, multi_line=True))     # texts hold line breaks
     return good
 
 
+@query
+def clean_csv_files(spark, sf):
+    """Raw tickets as several CSV files in row order, cleaned file to file."""
+    source, target = scratch_path(spark, "csv_in"), scratch_path(spark, "csv_out")
+    one_line = _raw(spark, sf).withColumn("ticket_text", F.regexp_replace("ticket_text", r"[\r\n]", " "))
+    tickets.write_tickets(one_line.repartitionByRange(4, ROW_SEQ).sortWithinPartitions(ROW_SEQ).drop(ROW_SEQ), source, "csv")
+    return _shown_time(cleaning_plan.clean_csv(spark, source, target)).drop(ROW_SEQ)
+
+
 @query
 def clean_table_round_trip(spark, sf):
     path = scratch_path(spark, "clean_out")
     tickets.write_tickets(_clean(spark, sf), path)
     back = tickets.read_tickets(spark, path)
-    return back.groupBy(F.date_format("created_at", "yyyy-MM").alias("created_month")).agg(
-        F.count("*").alias("n"), F.sum(F.length("ticket_text")).alias("chars"), F.round(F.sum("resolution_time"), 4).alias("hours"))
+    return _shown_time(back)
 
 
 @query
@@ -72,7 +81,8 @@ def stored_metrics(spark, sf):
     scored = routing.with_prediction(tables.predictions(spark, sf))
     summary = metrics.summary(metrics.confusion_counts(scored, "truth"))
     path = scratch_path(spark, "metrics_out")
-    metrics_store.append_metrics(summary, path, "fixture-run")
+    for _ in range(2):                                        # a run that is written again leaves one set of rows
+        metrics_store.append_metrics(summary, path, "fixture-run")
     return metrics_store.read_metrics(spark, path).select("run_id", "metric", F.round("value", 6).alias("value"))
 
 
@@ -223,6 +233,13 @@ def contamination_random_split(spark, sf):
     return _contamination(spark, sf, D.random_split(spark, sf))
 
 
+@query
+def near_duplicate_ticket_pairs(spark, sf):
+    """Every partner at the default threshold of the tickets whose number 50 divides."""
+    clean = _clean(spark, sf).withColumn("chosen", F.col(ROW_SEQ) % 50 == 0)
+    return neardup.pairs_of_tickets(D.near_duplicates(spark, sf, neardup.JOIN_THRESHOLD), clean)
+
+
 @query
 def contamination_customer_split(spark, sf):
     return _contamination(spark, sf, D.customer_split(spark, sf))
@@ -388,6 +405,24 @@ def feature_names(spark, sf):
     return space.names().select(F.col("idx").cast("long").alias("idx"), explain.listed_name(F.col("feature")).alias("name"))
 
 
+def _entries(spark, sf, numeric=None):
+    split = D.customer_split(spark, sf)
+    train, test = (d.withColumn("resolved", F.col("resolved").cast("double")) for d in (splits.train_rows(split), splits.test_rows(split)))
+    space = features.fit_space(train, numeric=numeric)
+    rows = space.transform(test).select(ROW_SEQ, F.inline("entries")).where("x <> 0")
+    return rows.join(space.names(), "idx").select(ROW_SEQ, explain.listed_name(F.col("feature")).alias("name"), F.round("x", 6).alias("x"))
+
+
+@query
+def fused_features(spark, sf):
+    return _entries(spark, sf)
+
+
+@query
+def leaky_features(spark, sf):
+    return _entries(spark, sf, [*NUMERIC_FEATURES, *POST_OUTCOME_FEATURES]).where(F.col("name").startswith("num:"))
+
+
 @query
 def leakage_guard(spark, sf):
     return features.leakage_report(_clean(spark, sf))
@@ -433,7 +468,9 @@ def retrieval_index(spark, sf):
 
 @query
 def retrieval_index_properties(spark, sf):
-    return retrieval.index_properties(D.index(spark, sf), "given vectors").withColumn("embedding_dim", F.col("embedding_dim").cast("long"))
+    found = retrieval.index_properties(D.index(spark, sf), "given vectors")
+    return found.select("total_records", F.col("embedding_dim").cast("long").alias("embedding_dim"), "model_name",
+                        F.col("created_at").isNotNull().alias("dated"))
 
 
 @query
@@ -441,6 +478,13 @@ def similar_tickets(spark, sf):
     return retrieval.similar_tickets(D.index(spark, sf), D.vector_queries(spark, sf), 5).withColumn("rank", F.col("rank").cast("long"))
 
 
+@query
+def similar_tickets_of_many(spark, sf):
+    """Ten turned copies of every vector as queries."""
+    found = retrieval.nearest(D.index(spark, sf), D.turned_vectors(spark, sf), 3)
+    return found.select("query_id", F.col("rank").cast("long").alias("rank"), "ticket_id", F.round("score", 6).alias("score"))
+
+
 @query
 def similar_tickets_of_text(spark, sf):
     asked = D.embedded_tickets(spark, sf).select(F.col("vec_id").cast("string").alias("query_id"),
@@ -452,8 +496,7 @@ def similar_tickets_of_text(spark, sf):
 @query
 def high_matches(spark, sf):
     found = retrieval.similar_tickets(D.index(spark, sf), D.vector_queries(spark, sf), 10)
-    return retrieval.with_high_match(found).groupBy("query_id").agg(F.count_if("high_match").alias("high_matches"),
-                                                                     F.count("*").alias("results"))
+    return retrieval.with_high_match(found).select("query_id", F.col("rank").cast("long").alias("rank"), "ticket_id", "high_match")
 
 
 @query
@@ -470,7 +513,7 @@ def index_upsert(spark, sf):
     index = D.index(spark, sf)
     changed = index.join(_clean(spark, sf).select(F.concat(F.lit("V-"), F.col(ROW_SEQ).cast("string")).alias("ticket_id")),
                          "ticket_id", "left_semi").withColumn("priority", F.lit("REVIEWED"))
-    return retrieval.upsert(index, changed).groupBy("priority").agg(F.count("*").alias("n"))
+    return retrieval.upsert(index, changed).select("ticket_id", "product", "category", "priority")
 
 
 # --- metrics ----------------------------------------------------------------
@@ -712,6 +755,31 @@ def priority_model_comparison(spark, sf):
     return training.compare_models(_boosted(spark, sf), _forest(spark, sf), "boosted").drop("seconds")
 
 
+@query
+def linear_fit_ends(spark, sf):
+    """Whether every linear model reached the gradient that ends a fit."""
+    rows = [(t.name, fold, label, share <= linear_fit.TOLERANCE) for t in (_svm(spark, sf), _logistic(spark, sf))
+            for (fold, label), share in t.model.gradient_shares.items()]
+    return spark.createDataFrame(rows, "model string, fold long, label string, ended boolean")
+
+
+@query
+def boosting_losses(spark, sf):
+    """Whether no round of boosting raised the training loss."""
+    losses = _boosted(spark, sf).model.losses
+    rows = [(k + 1, bool(b <= a + 1e-12)) for k, (a, b) in enumerate(zip(losses, losses[1:]))]
+    return spark.createDataFrame(rows, "round long, not_raised boolean")
+
+
+@query
+def projection_basis(spark, sf):
+    """Products of all pairs of text directions: one with themselves, zero with others."""
+    basis = _boosted(spark, sf).projection.basis.select("idx", F.posexplode("v").alias("k", "x"))
+    other = basis.select("idx", F.col("k").alias("m"), F.col("x").alias("y"))
+    dots = basis.join(other, "idx").groupBy("k", "m").agg(F.sum(F.col("x") * F.col("y")).alias("d"))
+    return dots.select(F.col("k").cast("long").alias("k"), F.col("m").cast("long").alias("m"), F.abs(F.round("d", 6)).alias("product"))
+
+
 @query
 def leakage_experiment(spark, sf):
     return training.leakage_experiment(_clean(spark, sf))
@@ -755,17 +823,9 @@ def model_calibration(spark, sf):
 
 # --- triage and streams -----------------------------------------------------
 
-def _tickets_with_vectors(spark, sf):
-    vectors = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias(ROW_SEQ), "embedding")
-    return _clean(spark, sf).join(vectors, ROW_SEQ, "left")
-
-
 @query
 def batch_triage(spark, sf):
-    desk = triage.Desk(_svm(spark, sf), _forest(spark, sf), D.index(spark, sf))
-    return triage.triage(_tickets_with_vectors(spark, sf), desk).select(
-        ROW_SEQ, "ticket_id", "category", "category_confidence", "uncertain", "priority", "priority_confidence",
-        F.to_json("explanation").alias("explanation"), F.to_json("similar_tickets").alias("similar_tickets"), "queue", "sla", "calibrated_note")
+    return _answers(spark, sf, triage.split_requests(_raw(spark, sf))[0])
 
 
 @query
@@ -775,33 +835,53 @@ def encoded_texts(spark, sf):
                           F.round(numeric.dot(F.col("embedding"), F.col("embedding")), 6).alias("squared_norm"))
 
 
-def _stream_of_raw(spark, sf, files=2):
-    """Raw tickets as files in arrival order, read back as a stream."""
+def _stream_of_raw(spark, sf, files=4, late=False):
+    """Raw tickets as files in order of their time, read back as a stream, one file a batch.
+
+    Tickets without a time come first. With ``late``, a share of the first third comes after all others.
+    """
+    stamp = F.unix_timestamp(F.try_to_timestamp("created_at", F.lit("yyyy-MM-dd HH:mm:ss")))
     raw, path = _raw(spark, sf), scratch_path(spark, "stream_in")
-    raw.repartitionByRange(files, ROW_SEQ).write.parquet(path)
+    low, high = raw.agg(F.min(stamp), F.max(stamp)).first()
+    share = (stamp - (low or 0)) / ((high or 0) - (low or 0) + 1)
+    slot = F.coalesce(F.floor(share * files), F.lit(0))
+    if late:
+        slot = F.when((share < 1 / 3) & (F.col(ROW_SEQ) % LATE_EVERY == LATE_REST), F.lit(files)).otherwise(slot)
+    for k in range(files + late):                             # one after the other: a stream takes files by their age
+        raw.where(slot == k).coalesce(1).write.mode("append").parquet(path)
     return jobs.ticket_stream(spark, path, raw.schema, files_per_batch=1)
 
 
-# Arrival order is id order, not time order: the delay has to span the table.
-WHOLE_TABLE_DELAY = "3650 days"
+LATE_EVERY, LATE_REST = 7, 3
+DELAY = "1 day"
 
 
-@query
-def streaming_volume(spark, sf):
+def _volume(spark, sf, late):
     target = scratch_path(spark, "stream_volume")
-    counts = jobs.volume_windows(jobs.clean_stream(_stream_of_raw(spark, sf)), ["product"], WHOLE_TABLE_DELAY)
+    counts = jobs.volume_windows(jobs.clean_stream(_stream_of_raw(spark, sf, late=late)), ["product"], DELAY)
     jobs.append_batches(counts, target, mode="update").awaitTermination()
     final = jobs.latest_counts(spark, target, ["window_start", "product"])
     return final.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd HH:mm:ss"))
 
 
+@query
+def streaming_volume(spark, sf):
+    return _volume(spark, sf, late=False)
+
+
+@query
+def streaming_volume_late(spark, sf):
+    """Tickets that come after the watermark has passed their day are not counted."""
+    return _volume(spark, sf, late=True)
+
+
 @query
 def streaming_resubmissions(spark, sf):
     target = scratch_path(spark, "stream_forms")
-    unique = jobs.drop_resubmissions(jobs.clean_stream(_stream_of_raw(spark, sf)), WHOLE_TABLE_DELAY)
+    unique = jobs.drop_resubmissions(jobs.clean_stream(_stream_of_raw(spark, sf)), DELAY)
     jobs.append_batches(unique, target).awaitTermination()
     return _shown_time(spark.read.parquet(target)).select(
-        "customer_id", "product", "created_at", "priority", "category", F.length("ticket_text").cast("long").alias("chars"))
+        "customer_id", "product", "created_at", "priority", "category", "ticket_text", "previous_tickets", "resolution_time", "resolved")
 
 
 @query
@@ -811,8 +891,33 @@ def streaming_index(spark, sf):
     return spark.read.parquet(target).select("ticket_id", "product", "category", "priority", F.size("embedding").cast("long").alias("dim"))
 
 
+def _answers(spark, sf, tickets_of_batch):
+    desk = triage.Desk(_svm(spark, sf), _forest(spark, sf), D.index(spark, sf))
+    vectors = tables.table(spark, sf, "embeddings").select(F.col("vec_id").alias(ROW_SEQ), "embedding")
+    return triage.triage(tickets_of_batch.join(vectors, ROW_SEQ, "left"), desk).select(*ANSWER, *[
+        F.to_json(c).alias(c) for c in ("explanation", "similar_tickets")])
+
+
+ANSWER = [ROW_SEQ, "ticket_id", "category", "category_confidence", "uncertain", "priority", "priority_confidence", "queue", "sla",
+          "calibrated_note"]
+
+
 @query
 def streaming_triage(spark, sf):
-    trained, target = _svm(spark, sf), scratch_path(spark, "stream_triage")
-    jobs.append_batches(jobs.clean_stream(_stream_of_raw(spark, sf)), target, lambda batch, _: triage.categorise(batch, trained)).awaitTermination()
-    return spark.read.parquet(target).select(ROW_SEQ, "category", F.round("category_confidence", 3).alias("category_confidence"), "uncertain")
+    target, rejects = scratch_path(spark, "stream_triage"), scratch_path(spark, "stream_rejects")
+    jobs.triage_stream(_stream_of_raw(spark, sf), target, rejects, triage.split_requests,
+                       lambda batch: _answers(spark, sf, batch)).awaitTermination()
+    return spark.read.parquet(target).drop("batch_id")
+
+
+@query
+def streaming_rejects(spark, sf):
+    """What triage on the stream turns away; nothing is scored for it."""
+    target, rejects = scratch_path(spark, "stream_valid"), scratch_path(spark, "stream_rejects")
+    jobs.triage_stream(_stream_of_raw(spark, sf), target, rejects, triage.split_requests, lambda batch: batch).awaitTermination()
+    return spark.read.parquet(rejects).select("ticket_id", "reject_reason")
+
+
+@query
+def triage_rejects(spark, sf):
+    return triage.split_requests(_raw(spark, sf))[1].select("ticket_id", "reject_reason")

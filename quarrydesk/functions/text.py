@@ -91,3 +91,11 @@ def terms(token_list: Column) -> Column:
 def shorten(text: Column, limit: int, keep: int) -> Column:
     """First ``keep`` characters and ``...`` when longer than ``limit``."""
     return F.when(F.length(text) > limit, F.concat(F.substring(text, 1, keep), F.lit("..."))).otherwise(text)
+
+
+def row_digest(columns: list[str]) -> Column:
+    """SHA-256 of the columns' values in order; each is its length and its text, a NULL has neither."""
+    def shown(name: str) -> Column:
+        value = F.col(name).cast("string")
+        return F.coalesce(F.concat(F.length(value).cast("string"), F.lit(":"), value), F.lit("-"))
+    return F.unhex(F.sha2(F.concat(*[shown(c) for c in columns]), 256))

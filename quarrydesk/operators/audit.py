@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarrydesk.functions.numeric import pct
+from quarrydesk.functions.text import row_digest
 from quarrydesk.operators.cleaning import parsed_timestamp
 from quarrydesk.schema import HOURS_CEILING, HOURS_FLOOR, ROW_SEQ
 
@@ -39,11 +38,11 @@ def null_counts(df: DataFrame) -> DataFrame:
 def exact_duplicates(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group equal in all columns but the id; NULLs equal.
 
-    Grouping pre-aggregates on the map side, so a huge group of copies shrinks
-    to one row per task before it is shuffled.
+    Rows are grouped by a 256-bit digest of their content, so a huge group of
+    copies shrinks to one short row per task before it is shuffled.
     """
-    keys = [c for c in df.columns if c not in ROW_IDENTITY]
-    return df.groupBy(*keys).agg(F.count("*").alias("_n")).agg(
+    digest = row_digest([c for c in df.columns if c not in ROW_IDENTITY])
+    return df.groupBy(digest.alias("_digest")).agg(F.count("*").alias("_n")).agg(
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("exact_duplicates"))
 
 
@@ -105,7 +104,3 @@ def null_patterns(df: DataFrame) -> DataFrame:
     """How many rows share each combination of NULL columns (heat-map data)."""
     flags = [F.when(F.col(c).isNull(), F.lit(c)) for c in data_columns(df)]
     return (df.groupBy(F.concat_ws(",", *flags).alias("null_columns")).agg(F.count("*").alias("n")))
-
-
-def union_all(frames: list[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, frames)

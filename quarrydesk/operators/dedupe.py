@@ -6,22 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from quarrydesk.functions.text import row_digest
 from quarrydesk.schema import LENGTH_BAND, ROW_SEQ, require_columns
 
 NOT_COMPARED = ("ticket_id", "is_near_duplicate", ROW_SEQ)
 
 
 def drop_exact_copies(df: DataFrame) -> DataFrame:
-    """Keep the first row (by ``row_seq``) of rows equal in every other column.
+    """Keep the first row (by ``row_seq``) of rows equal in every other column. NULLs are equal.
 
-    A grouped minimum, not a window: copies collapse on the map side, so a
-    group that holds a third of the table never reaches one task. NULLs are
-    equal, as group keys.
+    Rows are grouped by a 256-bit digest of their content: copies collapse on the map side to a digest and a number, and
+    no text is sorted. The numbers of the first rows then pick them out of the table.
     """
     require_columns(df, ROW_SEQ, "ticket_id")
-    keys = [c for c in df.columns if c not in NOT_COMPARED]
-    first = df.groupBy(*keys).agg(F.min(F.struct(ROW_SEQ, "ticket_id")).alias("_first"))
-    return first.select(F.col(f"_first.{ROW_SEQ}").alias(ROW_SEQ), F.col("_first.ticket_id").alias("ticket_id"), *keys)
+    digest = row_digest([c for c in df.columns if c not in NOT_COMPARED])
+    first = df.groupBy(digest.alias("_digest")).agg(F.min(ROW_SEQ).alias(ROW_SEQ))
+    return df.join(first.select(ROW_SEQ), ROW_SEQ, "left_semi")
 
 
 def crowded_lengths(df: DataFrame, band: int = LENGTH_BAND) -> DataFrame:

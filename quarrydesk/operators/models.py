@@ -1,26 +1,23 @@
-"""Spark ML estimators for category and priority, and their scoring.
+"""Models for category and priority, and their scoring.
 
-Linear models score as one join: entries x weights (bounded by features), with
-one sum per class. Trees score through the Spark ML model.
+Linear models are fitted by ``linear_fit`` and score rows where they are. Trees score through the Spark ML model.
 """
 
 from __future__ import annotations
 
 import warnings
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from functools import reduce
 from math import log
-from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier, LinearSVC, LogisticRegression, OneVsRest, RandomForestClassifier
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarrydesk.operators import splits
-from quarrydesk.operators.tfidf import bounded_broadcast
+from quarrydesk.operators import boosting, features, linear_fit, scans
 from quarrydesk.schema import ROW_SEQ
 from quarrydesk.session import write_out
 
@@ -34,7 +31,7 @@ FOLDS = 5
 SEED = 42
 COMPONENTS = 50
 # ----------------------------------------------------------------------------
-PLATT_STEPS = 50
+PLATT_STEPS = 100
 PLATT_TOLERANCE = 1e-8
 
 
@@ -52,6 +49,7 @@ class LinearModel:
     kind: str
     folds: int = 1
     sigmoids: dict[tuple[int, str], tuple[float, float]] = field(default_factory=dict)
+    gradient_shares: dict[tuple[int, str], float] = field(default_factory=dict)   # of a fit, by cell
 
 
 def labelled(df: DataFrame, label: str, labels: tuple[str, ...], weights: dict[str, float] | None = None) -> DataFrame:
@@ -74,32 +72,58 @@ def weight_table(spark: SparkSession, cells: dict[tuple[int, str], np.ndarray])
     return write_out(spark.createDataFrame(pa.concat_tables(parts)), "linear_weights")
 
 
-def fit_logistic(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations: int = LR_ITERATIONS) -> LinearModel:
-    """Balanced multinomial logistic regression; the penalty is 1 / (C * sum of weights)."""
-    estimator = LogisticRegression(featuresCol="features", labelCol="label_code", weightCol="weight", family="multinomial",
-                                   regParam=1.0 / (C * rows), elasticNetParam=0.0, standardization=False, maxIter=iterations)
-    model = estimator.fit(ml)
-    matrix = model.coefficientMatrix.toArray()
-    weights = weight_table(ml.sparkSession, {(0, name): matrix[i] for i, name in enumerate(labels)})
-    return LinearModel(weights, labels, {(0, name): float(model.interceptVector[i]) for i, name in enumerate(labels)}, "softmax")
+def fit_logistic(rows: linear_fit.Rows, labels: tuple[str, ...], weights: dict[str, float],
+                 iterations: int = LR_ITERATIONS) -> LinearModel:
+    """Balanced multinomial logistic regression, penalised by half the squared coefficients."""
+    loss = linear_fit.Softmax(np.arange(len(labels)), np.array([weights[n] for n in labels]), C)
+    fit = linear_fit.minimise(rows, loss, iterations)
+    cells = [(0, name) for name in labels]
+    return _linear_model(rows, cells, labels, fit, np.zeros(len(cells), dtype=int), "softmax", 1)
 
 
-def _fit_margins(ml: DataFrame, labels: tuple[str, ...], rows: int, iterations: int) -> list[tuple[np.ndarray, float]]:
-    """Coefficients and intercept of one linear SVM per class."""
-    base = LinearSVC(featuresCol="features", labelCol="label_code", weightCol="weight", regParam=1.0 / (C * rows),
-                     standardization=False, maxIter=iterations)
-    ovr = OneVsRest(classifier=base, featuresCol="features", labelCol="label_code", weightCol="weight",
-                    parallelism=1)  # folds already run side by side; nested pools share the job's local properties
-    return [(m.coefficients.toArray(), float(m.intercept)) for m in ovr.fit(ml).models]
+def _linear_model(rows: linear_fit.Rows, cells: list[tuple[int, str]], labels: tuple[str, ...], fit: linear_fit.Fit,
+                  group: np.ndarray, kind: str, folds: int) -> LinearModel:
+    weights = weight_table(rows.blocks.sparkSession, {cell: fit.weights[:-1, i] for i, cell in enumerate(cells)})
+    bias = {cell: float(fit.weights[-1, i]) for i, cell in enumerate(cells)}
+    shares = {cell: float(fit.gradient_share[group[i]]) for i, cell in enumerate(cells)}
+    return LinearModel(weights, labels, bias, kind, folds, gradient_shares=shares)
+
+
+def weight_matrix(model: LinearModel, cells: list[tuple[int, str]]) -> np.ndarray | None:
+    """(features, cells); None if that takes more than ``MATRIX_BYTES``. Features are counted before they reach the driver."""
+    last = model.weights.agg(F.max("idx")).first()[0]
+    features = 0 if last is None else last + 1
+    if features * len(cells) * 8 > scans.MATRIX_BYTES:
+        return None
+    out, place = np.zeros((features, len(cells))), {cell: i for i, cell in enumerate(cells)}
+    held = model.weights.toArrow()
+    at = np.array([place[f, n] for f, n in zip(held.column("fold").to_pylist(), held.column("label").to_pylist())], dtype=np.int64)
+    if len(at):
+        out[held.column("idx").to_numpy(), at] = held.column("w").to_numpy()
+    return out
 
 
 def margins(entries: DataFrame, model: LinearModel, keys: list[str]) -> DataFrame:
-    """``keys`` + ``fold_margins array<array<double>>`` (fold, class): one join, one grouped sum.
+    """``keys`` + ``fold_margins array<array<double>>`` (fold, class).
 
-    Weights are pivoted to one row per feature, so the vector table is not
-    multiplied by classes or folds.
+    The coefficients travel to the rows and each row is multiplied where it is; a matrix beyond ``MATRIX_BYTES`` stays
+    a table, and entries meet it in a join.
     """
     cells = [(f, name) for f in range(model.folds) for name in model.labels]
+    if (matrix := weight_matrix(model, cells)) is None:
+        return _joined_margins(entries, model, keys, cells)
+    product = scans.with_product(entries.select(*keys, "entries"), matrix, "_product")
+    total = [F.get("_product", F.lit(i)) + F.lit(model.bias[cell]) for i, cell in enumerate(cells)]
+    return product.select(*keys, _per_fold(total, model))
+
+
+def _per_fold(total: list[Column], model: LinearModel) -> Column:
+    k = len(model.labels)
+    return F.array(*[F.array(*total[f * k:(f + 1) * k]) for f in range(model.folds)]).alias("fold_margins")
+
+
+def _joined_margins(entries: DataFrame, model: LinearModel, keys: list[str], cells: list[tuple[int, str]]) -> DataFrame:
+    """The same by one join with one row of weights for each feature and one grouped sum."""
     wide = model.weights.groupBy("idx").agg(*[
         F.coalesce(F.sum(F.when((F.col("fold") == f) & (F.col("label") == name), F.col("w"))), F.lit(0.0)).alias(f"_w{i}")
         for i, (f, name) in enumerate(cells)])
@@ -107,74 +131,78 @@ def margins(entries: DataFrame, model: LinearModel, keys: list[str]) -> DataFram
     sums = products.groupBy(*keys).agg(*[F.sum(F.col("x") * F.col(f"_w{i}")).alias(f"_s{i}") for i in range(len(cells))])
     with_all = entries.select(*keys).join(sums, keys, "left")
     total = [F.coalesce(F.col(f"_s{i}"), F.lit(0.0)) + F.lit(model.bias[cell]) for i, cell in enumerate(cells)]
-    per_fold = [F.array(*total[f * len(model.labels):(f + 1) * len(model.labels)]) for f in range(model.folds)]
-    return with_all.select(*keys, F.array(*per_fold).alias("fold_margins"))
+    return with_all.select(*keys, _per_fold(total, model))
 
 
 def fit_platt(held_out: DataFrame, cells: list[tuple[int, str]]) -> dict[tuple[int, str], tuple[float, float]]:
     """Sigmoids P(y=1|f) = 1 / (1 + exp(A f + B)) for every (fold, label) at once.
 
-    ``held_out``: (fold, label, margin, hit). Newton steps on Platt's smoothed
-    targets; each step is one grouped sum over the table and brings back five
-    numbers per cell. Sigmoids that still move after ``PLATT_STEPS`` steps are named in a warning.
+    ``held_out``: (fold, label, margin, hit). Newton steps on the likelihood of Platt's smoothed targets; a step that does
+    not raise it is halved. Each step is one grouped sum over the table and brings back seven numbers a cell. A sigmoid
+    is done when its gradient is ``PLATT_TOLERANCE`` a row; those that are not after ``PLATT_STEPS`` are named in a warning.
     """
     counts = {(r["fold"], r["label"]): (r["pos"], r["neg"]) for r in held_out.groupBy("fold", "label").agg(
         F.count_if(F.col("hit") == 1).alias("pos"), F.count_if(F.col("hit") == 0).alias("neg")).collect()}
     params = {cell: (0.0, log((counts.get(cell, (0, 0))[1] + 1.0) / (counts.get(cell, (0, 0))[0] + 1.0))) for cell in cells}
     spark = held_out.sparkSession
     targets = {cell: ((pos + 1.0) / (pos + 2.0), 1.0 / (neg + 2.0)) for cell, (pos, neg) in counts.items()}
-    active = set(counts)
+    trial, state = {cell: params[cell] for cell in counts}, {}
     for _ in range(PLATT_STEPS):
-        rows = [(f, name, *params[(f, name)], *targets[(f, name)]) for f, name in active]
+        rows = [(f, name, *ab, *targets[(f, name)]) for (f, name), ab in trial.items()]
         current = spark.createDataFrame(rows, "fold int, label string, a double, b double, t1 double, t0 double")
         f, t = F.col("margin"), F.when(F.col("hit") == 1, F.col("t1")).otherwise(F.col("t0"))
-        p = 1.0 / (1.0 + F.exp(F.col("a") * f + F.col("b")))
+        z = F.col("a") * f + F.col("b")
+        p = 1.0 / (1.0 + F.exp(z))
+        # -t log p - (1 - t) log(1 - p), written so that no exponential overflows
+        loss = t * z + F.greatest(-z, F.lit(0.0)) + F.log1p(F.exp(-F.abs(z)))
         sums = (held_out.join(F.broadcast(current), ["fold", "label"])      # one row per fold and class
-                .withColumns({"d": t - p, "h": p * (1 - p)}).groupBy("fold", "label")
-                .agg(F.sum(F.col("d") * f).alias("ga"), F.sum("d").alias("gb"), F.sum(F.col("h") * f * f).alias("haa"),
-                     F.sum(F.col("h") * f).alias("hab"), F.sum("h").alias("hbb")).collect())
-        moved = 0.0
+                .withColumns({"d": t - p, "h": p * (1 - p), "loss": loss}).groupBy("fold", "label")
+                .agg(F.sum("loss").alias("loss"), F.sum(F.col("d") * f).alias("ga"), F.sum("d").alias("gb"),
+                     F.sum(F.col("h") * f * f).alias("haa"), F.sum(F.col("h") * f).alias("hab"), F.sum("h").alias("hbb")).collect())
         for r in sums:
             cell = (r["fold"], r["label"])
+            if cell in state and r["loss"] > state[cell][0] + 1e-12 * abs(state[cell][0]):
+                loss_at, (a, b), (da, db), size = state[cell]
+                state[cell] = (loss_at, (a, b), (da, db), size / 2)
+                trial[cell] = (a + da * size / 2, b + db * size / 2)
+                continue
+            a, b = params[cell] = trial[cell]
+            if max(abs(r["ga"]), abs(r["gb"])) <= PLATT_TOLERANCE * max(sum(counts[cell]), 1):
+                del trial[cell]
+                continue
             haa, hbb, hab = r["haa"] + 1e-12, r["hbb"] + 1e-12, r["hab"]
             det = haa * hbb - hab * hab
             da, db = -(hbb * r["ga"] - hab * r["gb"]) / det, -(haa * r["gb"] - hab * r["ga"]) / det
-            size = max(1.0, abs(da) / 10.0, abs(db) / 10.0)      # damp the first long steps
-            a, b = params[cell]
-            params[cell] = (a + da / size, b + db / size)
-            moved = max(moved, abs(da), abs(db))
-            if max(abs(da), abs(db)) < PLATT_TOLERANCE:
-                active.discard(cell)
-        if moved < PLATT_TOLERANCE or not active:
-            break
-    else:
-        warnings.warn(f"sigmoids not converged after {PLATT_STEPS} steps, last move {moved:.1e}: {sorted(active)}")
+            state[cell] = (r["loss"], (a, b), (da, db), 1.0)
+            trial[cell] = (a + da, b + db)
+        if not trial:
+            return params
+    warnings.warn(f"sigmoids not converged after {PLATT_STEPS} steps: {sorted(trial)}")
     return params
 
 
-def fit_calibrated_svm(train: DataFrame, ml: DataFrame, labels: tuple[str, ...], label: str, rows: int,
-                       folds: int = FOLDS, iterations: int = SVM_ITERATIONS) -> LinearModel:
-    """Linear SVM per fold on the other folds, sigmoid per class on the held-out margins.
+def fit_calibrated_svm(table: DataFrame, rows: linear_fit.Rows, labels: tuple[str, ...], label: str, folds: int = FOLDS,
+                       iterations: int = SVM_ITERATIONS) -> LinearModel:
+    """Squared-hinge SVM per class on the other folds, sigmoid per class on the held-out margins.
 
-    ``ml`` and ``train`` carry ``fold``; folds are fitted side by side.
+    ``table`` (``fold``, label, entries) are the rows behind ``rows``. All folds and classes are fitted in the same scans; a
+    class weighs n / (k * n_c) of the rows that its fold is fitted on.
     """
-    def one(fold: int) -> list[tuple[np.ndarray, float]]:
-        return _fit_margins(ml.filter(F.col("fold") != fold), labels, rows - rows // folds, iterations)
-
-    with ThreadPool(folds) as pool:
-        fitted = pool.map(one, range(folds))
-    cells = {(f, name): fitted[f][i] for f in range(folds) for i, name in enumerate(labels)}
-    weights = weight_table(ml.sparkSession, {cell: w for cell, (w, _) in cells.items()})
-    bias = {cell: b for cell, (_, b) in cells.items()}
-    base = LinearModel(weights, labels, bias, "margin", folds)
-    scored = margins(train, base, [ROW_SEQ, "fold", label])
+    counts = {(r["fold"], r[label]): r["n"] for r in table.groupBy("fold", label).agg(F.count("*").alias("n")).collect()}
+    cells = [(f, name) for f in range(folds) for name in labels]
+    others = {f: {n: sum(c for (g, m), c in counts.items() if g != f and m == n) for n in labels} for f in range(folds)}
+    balance = [sum(others[f].values()) / (len(labels) * max(others[f][name], 1)) for f, name in cells]
+    loss = linear_fit.SquaredHinge(np.array([f for f, _ in cells]), np.array([labels.index(n) for _, n in cells]),
+                                   np.array(balance), C)
+    fit = linear_fit.minimise(rows, loss, iterations)
+    base = _linear_model(rows, cells, labels, fit, np.arange(len(cells)), "margin", folds)
+    scored = margins(table, base, [ROW_SEQ, "fold", label])
     own = F.element_at("fold_margins", F.col("fold") + 1)
     held = scored.select("fold", F.col(label).alias("_truth"), F.posexplode(own).alias("_i", "margin")).select(
         "fold", F.element_at(F.array(*[F.lit(n) for n in labels]), F.col("_i") + 1).alias("label"), "_truth", "margin")
     held = held.withColumn("hit", (F.col("_truth") == F.col("label")).cast("int")).drop("_truth")
     held = write_out(held, "held_out_margins")
-    sigmoids = fit_platt(held, [(f, n) for f in range(folds) for n in labels])
-    return LinearModel(weights, labels, bias, "platt", folds, sigmoids)
+    return replace(base, kind="platt", sigmoids=fit_platt(held, cells))
 
 
 def _score_array(labels: tuple[str, ...], p: list[Column], margin: list[Column]) -> Column:
@@ -233,63 +261,49 @@ def fit_forest(ml: DataFrame, trees: int = TREES_FOREST, depth: int = FOREST_DEP
                                   maxDepth=depth, seed=SEED).fit(ml)
 
 
-def fit_boosted(ml: DataFrame, labels: tuple[str, ...], trees: int = TREES_BOOSTED, depth: int = BOOST_DEPTH,
-                rate: float = BOOST_RATE):
-    """One boosted ensemble per class: Spark's is binary."""
-    base = GBTClassifier(featuresCol="features", labelCol="label_code", weightCol="weight", maxIter=trees, maxDepth=depth,
-                         stepSize=rate, seed=SEED)
-    return OneVsRest(classifier=base, featuresCol="features", labelCol="label_code", weightCol="weight",
-                     parallelism=len(labels)).fit(ml)
-
-
 def score_trees(ml: DataFrame, model, labels: tuple[str, ...], keys: list[str]) -> DataFrame:
-    """``keys`` + ``scores`` for a forest (its probabilities) or one-vs-rest margins (sigmoids, normalised)."""
-    out = model.transform(ml.select(*keys, "features"))
-    raw = vector_to_array("rawPrediction")
-    out = out.withColumn("_raw", raw)
-    margin = [F.col("_raw")[i] for i in range(len(labels))]
-    if hasattr(model, "models"):
-        squashed = [1.0 / (1.0 + F.exp(-2.0 * m)) for m in margin]
-        total = reduce(lambda a, b: a + b, squashed)
-        p = [s / total for s in squashed]
-    else:
-        out = out.withColumn("_p", vector_to_array("probability"))
-        p = [F.col("_p")[i] for i in range(len(labels))]
+    """``keys`` + ``scores`` of a forest (its probabilities) or of boosted trees (softmax of their margins)."""
+    if isinstance(model, boosting.BoostedTrees):
+        out = boosting.raw_scores(ml.select(*keys, "entries"), model).withColumn("_raw", F.col("raw"))
+        margin = [F.get("_raw", F.lit(i)) for i in range(len(labels))]
+        shifted = [F.exp(m - F.array_max("_raw")) for m in margin]
+        total = reduce(lambda a, b: a + b, shifted)
+        return out.select(*keys, _score_array(labels, [s / total for s in shifted], margin).alias("scores"))
+    ml = features.as_ml_table(ml.select(*keys, "entries"), model.numFeatures)
+    out = model.transform(ml).withColumns({"_raw": vector_to_array("rawPrediction"), "_p": vector_to_array("probability")})
+    p, margin = ([F.col(c)[i] for i in range(len(labels))] for c in ("_p", "_raw"))
     return out.select(*keys, _score_array(labels, p, margin).alias("scores"))
 
 
 @dataclass(frozen=True)
 class Projection:
-    """Leading right singular vectors: (idx, v array<double>), one row per term."""
+    """Leading right singular vectors: (idx, v array<double>), one row per term; ``energy`` is their share of the squares."""
 
     basis: DataFrame
     components: int
+    terms: int
+    energy: float
 
 
-def fit_projection(text_ml: DataFrame, components: int = COMPONENTS) -> Projection:
-    """Truncated SVD of the uncentred text matrix by the distributed row matrix."""
-    from pyspark.mllib.linalg.distributed import RowMatrix
-    from pyspark.mllib.util import MLUtils
-    spark = text_ml.sparkSession
-    vectors = text_ml.select("features").persist()
-    matrix = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "features"))
-    basis = matrix.computeSVD(components, computeU=False).V.toArray()
-    vectors.unpersist()
+def fit_projection(rows: linear_fit.Rows, components: int = COMPONENTS) -> Projection:
+    """Truncated SVD of the uncentred text rows."""
+    basis, values, whole = linear_fit.leading_directions(rows, components, SEED)
     table = pa.table({"idx": pa.array(range(len(basis)), pa.int32()), "v": pa.array(basis.tolist(), pa.list_(pa.float64()))})
-    return Projection(write_out(spark.createDataFrame(table), "projection"), basis.shape[1])
+    stored = write_out(rows.blocks.sparkSession.createDataFrame(table), "projection")
+    return Projection(stored, basis.shape[1], len(basis), float((values ** 2).sum() / whole) if whole else 0.0)
+
 
+def project(entries: DataFrame, projection: Projection, text_size: int) -> DataFrame:
+    """Replace text entries by their projection, row by row: ``entries`` becomes dense and short.
 
-def project(entries: DataFrame, projection: Projection, text_size: int, keys: list[str]) -> DataFrame:
-    """Replace text entries by their projection: ``entries`` becomes dense and short."""
+    The basis travels to the rows; it has ``max_features`` rows of ``components`` numbers at most.
+    """
     n = projection.components
-    long = entries.select(*keys, F.inline(F.filter("entries", lambda e: e["idx"] < text_size)))
-    sums = (long.join(bounded_broadcast(projection.basis, text_size), "idx").groupBy(*keys)
-            .agg(*[F.sum(F.col("x") * F.col("v")[i]).alias(f"_c{i}") for i in range(n)]))
+    basis = np.zeros((text_size, n))
+    for r in projection.basis.select("idx", "v").toLocalIterator():
+        basis[r["idx"]] = r["v"]
+    out = scans.with_product(entries, basis, "_text")
     rest = F.transform(F.filter("entries", lambda e: e["idx"] >= text_size), lambda e: F.struct(
         (e["idx"] - text_size + n).cast("int").alias("idx"), e["x"].alias("x")))
-    head = F.array(*[F.struct(F.lit(i).alias("idx"), F.coalesce(F.col(f"_c{i}"), F.lit(0.0)).alias("x")) for i in range(n)])
-    return entries.join(sums, keys, "left").withColumn("entries", F.concat(head, rest)).drop(*[f"_c{i}" for i in range(n)])
-
-
-def with_folds(df: DataFrame, label: str, folds: int = FOLDS, seed: int = SEED) -> DataFrame:
-    return splits.stratified_folds(df, label, folds, seed)
+    head = F.transform("_text", lambda x, i: F.struct(i.cast("int").alias("idx"), x.alias("x")))
+    return out.withColumn("entries", F.concat(head, rest)).drop("_text")

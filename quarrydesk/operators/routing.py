@@ -63,18 +63,19 @@ def sla_label(priority: Column) -> Column:
 
 
 def validate_requests(df: DataFrame, default_product: str) -> DataFrame:
-    """Defaults, stripping and a ``reject_reason`` (NULL for valid rows)."""
+    """Defaults, stripping and a ``reject_reason`` (NULL for valid rows). Requests without bounds have none to break."""
+    bounded = {c: limits for c, limits in {"top_k": (DEFAULT_TOP_K, TOP_K_RANGE), "top_n": (DEFAULT_TOP_N, TOP_N_RANGE)}.items()
+               if c in df.columns}
     text = F.regexp_replace("ticket_text", r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$", "")
     shaped = df.withColumns({
         "ticket_text": text,
         "product": F.coalesce("product", F.lit(default_product)),
         "previous_tickets": F.coalesce("previous_tickets", F.lit(DEFAULT_PREVIOUS)),
-        "top_k": F.coalesce("top_k", F.lit(DEFAULT_TOP_K)),
-        "top_n": F.coalesce("top_n", F.lit(DEFAULT_TOP_N))})
+        **{c: F.coalesce(c, F.lit(default)) for c, (default, _) in bounded.items()}})
     blank = F.col("ticket_text").isNull() | (F.regexp_replace("ticket_text", WHITE_RUN, "") == "")
-    reason = (F.when(blank, "blank text").when(F.col("previous_tickets") < 0, "negative previous_tickets")
-              .when(~F.col("top_k").between(*TOP_K_RANGE), "top_k out of range")
-              .when(~F.col("top_n").between(*TOP_N_RANGE), "top_n out of range"))
+    reason = F.when(blank, "blank text").when(F.col("previous_tickets") < 0, "negative previous_tickets")
+    for c, (_, limits) in bounded.items():
+        reason = reason.when(~F.col(c).between(*limits), f"{c} out of range")
     return shaped.withColumn("reject_reason", reason)
 
 

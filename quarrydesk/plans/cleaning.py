@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from quarrydesk.operators.cleaning import clean_structured, clean_text, fix_timestamps
 from quarrydesk.operators.dedupe import drop_exact_copies, flag_near_duplicates
 from quarrydesk.schema import ROW_SEQ
 from quarrydesk.session import write_out
-from quarrydesk.sources.tickets import read_raw_csv, split_corrupt, write_tickets
+from quarrydesk.sources.tickets import in_file_order, read_raw_csv, split_corrupt, write_tickets
 
 CLEAN_ORDER = ["ticket_id", "customer_id", "ticket_text", "product", "created_at", "previous_tickets",
                "resolution_time", "priority", "category", "resolved", "hour_of_day", "day_of_week", "month",
@@ -28,9 +27,8 @@ def clean_table(raw: DataFrame) -> DataFrame:
     return flag_near_duplicates(deduped).select(ROW_SEQ, *CLEAN_ORDER)
 
 
-def clean_csv(spark: SparkSession, source: str, target: str, fmt: str = "parquet") -> DataFrame:
-    """File to file. CSV lines carry no position, so ids give the ingest order."""
-    good, _ = split_corrupt(read_raw_csv(spark, source))
-    ordered = good.withColumn(ROW_SEQ, F.monotonically_increasing_id())
-    write_tickets(clean_table(ordered), target, fmt)
+def clean_csv(spark: SparkSession, source: str, target: str, fmt: str = "parquet", multi_line: bool = False) -> DataFrame:
+    """File to file. Of equal rows the first by file path and place in the file stays."""
+    good, _ = split_corrupt(read_raw_csv(spark, source, multi_line, with_place=True))
+    write_tickets(clean_table(in_file_order(good, ROW_SEQ)), target, fmt)
     return spark.read.format(fmt).load(target) if fmt != "csv" else spark.read.option("header", True).csv(target)

@@ -5,16 +5,17 @@ from __future__ import annotations
 import time
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarrydesk.operators import features as feat
-from quarrydesk.operators import metrics, models, routing, splits
+from quarrydesk.operators import boosting, linear_fit, metrics, models, routing, splits
 from quarrydesk.operators.tfidf import MAX_FEATURES, MAX_FEATURES_SIMILARITY
 from quarrydesk.schema import MODEL_INPUT, NUMERIC_FEATURES, POST_OUTCOME_FEATURES, ROW_SEQ
 from quarrydesk.session import write_out
 
-ROWS_PER_PARTITION = 2_000
+ROWS_PER_PARTITION = 1_000
+WAVES = 4
 
 
 @dataclass(frozen=True)
@@ -34,9 +35,14 @@ def _labels_and_weights(train: DataFrame, label: str) -> tuple[tuple[str, ...],
     return tuple(r[label] for r in rows), {r[label]: total / (k * r["n"]) for r in rows}, total
 
 
+def _parts(spark: SparkSession, rows: int) -> int:
+    """Small partitions for small tables; at most ``WAVES`` for each shuffle partition, however many rows."""
+    return max(1, min(-(-rows // ROWS_PER_PARTITION), WAVES * int(spark.conf.get("spark.sql.shuffle.partitions"))))
+
+
 def _laid_out(ml: DataFrame, rows: int) -> DataFrame:
-    """Rows placed and ordered by id alone, so the same data gives the same model on every cluster."""
-    return ml.repartition(-(-rows // ROWS_PER_PARTITION), ROW_SEQ).sortWithinPartitions(ROW_SEQ)
+    """Rows placed and ordered by id alone."""
+    return ml.repartition(_parts(ml.sparkSession, rows), ROW_SEQ).sortWithinPartitions(ROW_SEQ)
 
 
 def _finish(name: str, scored: DataFrame, test: DataFrame, label: str, began: float) -> tuple[DataFrame, DataFrame]:
@@ -71,12 +77,14 @@ def train_category_model(split: DataFrame, kind: str = "svm", label: str = "cate
         train = splits.stratified_folds(train, label, folds)
     keep = [ROW_SEQ, label, *(["fold"] if kind == "svm" else []), "entries"]
     table = write_out(space.transform(train).select(*keep), "train_entries")
-    ml = _laid_out(feat.as_ml_table(models.labelled(table, label, labels, weights), space.size), rows).cache()
+    coded = models.labelled(table, label, labels).select(
+        ROW_SEQ, F.col("fold") if kind == "svm" else F.lit(-1).alias("fold"), F.col("label_code").alias("code"), "entries")
+    packed = linear_fit.packed_rows(coded, space.size, _parts(train.sparkSession, rows))
     if kind == "lr":
-        model = models.fit_logistic(ml, labels, rows, iterations or models.LR_ITERATIONS)
+        model = models.fit_logistic(packed, labels, weights, iterations or models.LR_ITERATIONS)
     else:
-        model = models.fit_calibrated_svm(table, ml, labels, label, rows, folds, iterations or models.SVM_ITERATIONS)
-    ml.unpersist()
+        model = models.fit_calibrated_svm(table, packed, labels, label, folds, iterations or models.SVM_ITERATIONS)
+    packed.blocks.unpersist()
     scored = models.score_linear(space.transform(test).select(ROW_SEQ, "entries"), model, [ROW_SEQ])
     predictions, summary = _finish(kind, scored, test, label, began)
     return Trained(kind, space, model, labels, predictions, summary)
@@ -93,22 +101,23 @@ def train_priority_model(split: DataFrame, kind: str = "boosted", label: str = "
     labels, weights, rows = _labels_and_weights(train, label)
     space = feat.fit_space(train, max_features, _check_inputs(None, False))
     table = write_out(space.transform(train).select(ROW_SEQ, label, "entries"), "train_entries")
-    text = table.select(F.filter("entries", lambda e: e["idx"] < space.text_size).alias("entries"))
-    projection = models.fit_projection(feat.as_ml_table(text, space.text_size), min(components, space.text_size))
+    text = table.select(ROW_SEQ, F.lit(0).alias("fold"), F.lit(0).alias("code"),
+                        F.filter("entries", lambda e: e["idx"] < space.text_size).alias("entries"))
+    packed = linear_fit.packed_rows(text, space.text_size, _parts(train.sparkSession, rows))
+    projection = models.fit_projection(packed, min(components, space.text_size))
+    packed.blocks.unpersist()
     short = projection.components + space.size - space.text_size
-
-    def dense(entries: DataFrame, keys: list[str]) -> DataFrame:
-        return models.project(entries, projection, space.text_size, keys)
-
-    fit_rows = dense(table, [ROW_SEQ, label])
-    ml = _laid_out(feat.as_ml_table(models.labelled(fit_rows, label, labels, weights), short), rows).cache()
+    dense = models.project(models.labelled(table, label, labels, weights), projection, space.text_size)
     if kind == "forest":
+        ml = _laid_out(feat.as_ml_table(dense, short), rows).cache()
         model = models.fit_forest(ml, trees or models.TREES_FOREST, depth or models.FOREST_DEPTH)
+        ml.unpersist()
     else:
-        model = models.fit_boosted(ml, labels, trees or models.TREES_BOOSTED, depth or models.BOOST_DEPTH)
-    ml.unpersist()
-    test_ml = feat.as_ml_table(dense(space.transform(test).select(ROW_SEQ, "entries"), [ROW_SEQ]), short)
-    predictions, summary = _finish(kind, models.score_trees(test_ml, model, labels, [ROW_SEQ]), test, label, began)
+        ordered = dense.select(ROW_SEQ, F.col("label_code").cast("int").alias("code"), "weight", "entries")
+        model = boosting.fit(write_out(ordered, "boosting_rows"), short, len(labels), _parts(train.sparkSession, rows),
+                             trees or models.TREES_BOOSTED, depth or models.BOOST_DEPTH, models.BOOST_RATE)
+    asked = models.project(space.transform(test).select(ROW_SEQ, "entries"), projection, space.text_size)
+    predictions, summary = _finish(kind, models.score_trees(asked, model, labels, [ROW_SEQ]), test, label, began)
     return Trained(kind, space, model, labels, predictions, summary, projection)
 
 

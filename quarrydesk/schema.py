@@ -32,8 +32,8 @@ TEXT_FEATURE = "ticket_text"
 CATEGORICAL_FEATURE = "product"
 NUMERIC_FEATURES = ["previous_tickets", "hour_of_day", "day_of_week", "month"]
 POST_OUTCOME_FEATURES = {
-    "resolution_time": "Unknown at ticket creation time",
-    "resolved": "Unknown at ticket creation time",
+    "resolution_time": "filled in when a ticket is closed",
+    "resolved": "set when a ticket is closed",
 }
 OOD_THRESHOLD = 0.50
 AUTO_ROUTE_FROM = 0.85

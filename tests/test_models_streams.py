@@ -1,12 +1,15 @@
 """Trained models keep their invariants; streams equal batch."""
 
+import warnings
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from quarrydesk.catalog import derived as D
 from quarrydesk.catalog import queries as Q
 from quarrydesk.functions.encoders import load_hashing_encoder
-from quarrydesk.operators import features, models, splits
+from quarrydesk.operators import boosting, features, linear_fit, models, splits
 from quarrydesk.plans import training, triage
 from quarrydesk.schema import ROW_SEQ
 from quarrydesk.sources import tables
@@ -59,17 +62,138 @@ def test_triage_and_explanations_answer_every_ticket(spark, sf_dir, monkeypatch)
     forest = training.train_priority_model(split, "forest", components=5, max_features=300, trees=3, depth=3)
     monkeypatch.setattr(Q, "_svm", lambda *_: svm)
     monkeypatch.setattr(Q, "_forest", lambda *_: forest)
-    want = sorted(r[0] for r in tables.clean_tickets(spark, sf_dir).select(ROW_SEQ).collect())
-    for query in (Q.batch_triage, Q.model_explanations):
-        assert sorted(r[0] for r in query(spark, sf_dir).select(ROW_SEQ).collect()) == want
-
-
-def test_sigmoids_that_do_not_converge_are_named(spark, monkeypatch):
-    rows = [(0, "a", m / 10, int(m + (m % 3) > 5)) for m in range(-20, 20)]
-    held = spark.createDataFrame(rows, "fold int, label string, margin double, hit int")
+    everyone = sorted(r[0] for r in tables.clean_tickets(spark, sf_dir).select(ROW_SEQ).collect())
+    assert sorted(r[0] for r in Q.model_explanations(spark, sf_dir).select(ROW_SEQ).collect()) == everyone
+    raw = tables.raw_tickets(spark, sf_dir)
+    batch = Q.batch_triage(spark, sf_dir).collect()
+    rejected = {r["ticket_id"] for r in Q.triage_rejects(spark, sf_dir).collect()}
+    assert sorted([*(r["ticket_id"] for r in batch), *rejected]) == sorted(r[0] for r in raw.select("ticket_id").collect())
+    assert all(r["similar_tickets"] is not None and r["queue"] and r["sla"] for r in batch)
+    assert sorted(map(tuple, Q.streaming_triage(spark, sf_dir).select(batch[0].__fields__).collect()), key=str) == sorted(map(tuple, batch), key=str)
+
+
+def _platt_brute(rows):
+    """Plain Newton with halving on one cell, from the definition."""
+    f, y = np.array([m for *_, m, _ in rows]), np.array([h for *_, h in rows])
+    t = np.where(y == 1, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+
+    def loss(ab):
+        z = ab[0] * f + ab[1]
+        return (t * z + np.maximum(-z, 0) + np.log1p(np.exp(-abs(z)))).sum()
+    ab = np.array([0.0, np.log(((1 - y).sum() + 1) / (y.sum() + 1))])
+    for _ in range(200):
+        p = 1 / (1 + np.exp(ab[0] * f + ab[1]))
+        g = np.array([((t - p) * f).sum(), (t - p).sum()])
+        h = np.array([[(p * (1 - p) * f * f).sum(), (p * (1 - p) * f).sum()], [(p * (1 - p) * f).sum(), (p * (1 - p)).sum()]]) + 1e-12 * np.eye(2)
+        d, size = -np.linalg.solve(h, g), 1.0
+        while loss(ab + size * d) > loss(ab) and size > 1e-12:
+            size /= 2
+        ab = ab + size * d
+    return ab
+
+
+def test_sigmoids_converge_also_on_separable_margins(spark, monkeypatch):
+    mixed = [(0, "a", m / 10, int(m + (m % 3) > 5)) for m in range(-20, 20)]
+    apart = [(1, "a", float(m), int(m > 0)) for m in range(-40, 40)]
+    none = [(2, "a", float(m), 0) for m in range(30)]
+    held = spark.createDataFrame(mixed + apart + none, "fold int, label string, margin double, hit int")
+    with warnings.catch_warnings():
+        warnings.simplefilter("error", UserWarning)
+        got = models.fit_platt(held, [(0, "a"), (1, "a"), (2, "a"), (3, "a")])
+    for k, rows in enumerate((mixed, apart)):
+        assert np.allclose(got[(k, "a")], _platt_brute(rows), rtol=1e-4)
+    assert got[(3, "a")][0] == 0.0                          # no row at all
     monkeypatch.setattr(models, "PLATT_STEPS", 2)
     with pytest.warns(UserWarning, match="not converged after 2 steps"):
-        models.fit_platt(held, [(0, "a")])
+        models.fit_platt(held.where("fold = 0"), [(0, "a")])
+
+
+def _sparse_rows(spark, seed=3, n=300, features=40, classes=3, folds=2):
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(n, features)) * (rng.random((n, features)) < 0.2)
+    code = (x[:, :classes] + 0.1 * rng.normal(size=(n, classes))).argmax(axis=1)
+    fold = np.arange(n) % folds
+    table = [(i, int(fold[i]), int(code[i]), [(int(j), float(v)) for j, v in enumerate(x[i]) if v]) for i in range(n)]
+    df = spark.createDataFrame(table, "row_seq long, fold int, code int, entries array<struct<idx: int, x: double>>")
+    return x, code, fold, linear_fit.packed_rows(df, features, 3)
+
+
+def test_squared_hinge_fits_reach_the_minimum(spark, monkeypatch):
+    monkeypatch.setattr(linear_fit, "BLOCK_ROWS", 32)
+    monkeypatch.setattr("quarrydesk.operators.scans.FAN_IN", 2)         # sums go through the second level
+    x, code, fold, rows = _sparse_rows(spark)
+    folds, codes, weights = np.array([0, 0, 1]), np.array([0, 2, 1]), np.array([2.0, 1.0, 0.5])
+    fit = linear_fit.minimise(rows, linear_fit.SquaredHinge(folds, codes, weights, 1.0), 500, 1e-7)
+    wide = np.hstack([x, np.ones((len(x), 1))])
+    for k in range(3):
+        own = fold != folds[k]
+        sign, c = np.where(code == codes[k], 1.0, -1.0)[own], np.where(code == codes[k], weights[k], 1.0)[own]
+        w = fit.weights[:, k]
+        short = np.maximum(1 - sign * (wide[own] @ w), 0)
+        assert np.abs(w - 2 * wide[own].T @ (c * sign * short)).max() < 1e-4
+    assert (fit.gradient_share <= 1e-7).all()
+    with pytest.warns(UserWarning, match="still move after 2 steps"):
+        linear_fit.minimise(rows, linear_fit.SquaredHinge(folds, codes, weights, 1.0), 2, 1e-7)
+
+
+def test_softmax_fit_reaches_the_minimum(spark):
+    x, code, _, rows = _sparse_rows(spark)
+    weights = np.array([1.0, 2.0, 0.5])
+    fit = linear_fit.minimise(rows, linear_fit.Softmax(np.arange(3), weights, 1.0), 500, 1e-7)
+    margins = x @ fit.weights[:-1] + fit.weights[-1]
+    p = np.exp(margins - margins.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    slope = weights[code][:, None] * (p - np.eye(3)[code])
+    assert np.abs(fit.weights[:-1] + x.T @ slope).max() < 1e-4 and np.abs(slope.sum(axis=0)).max() < 1e-4
+
+
+def test_projection_spans_the_leading_directions(spark):
+    x, _, _, rows = _sparse_rows(spark)
+    basis, values, whole = linear_fit.leading_directions(rows, 5, 1)
+    _, s, v = np.linalg.svd(x, full_matrices=False)
+    assert np.allclose(values, s[:5], rtol=1e-2) and np.isclose(whole, (x * x).sum())
+    assert np.allclose(basis.T @ basis, np.eye(5), atol=1e-9)
+    assert (values ** 2).sum() >= 0.98 * (s[:5] ** 2).sum()
+
+
+def test_margins_row_by_row_equal_the_join(spark, sf_dir, monkeypatch):
+    split = D.customer_split(spark, sf_dir)
+    trained = training.train_category_model(split, "lr", max_features=300)
+    entries = trained.space.transform(splits.test_rows(split)).select(ROW_SEQ, "entries")
+    here = models.margins(entries, trained.model, [ROW_SEQ])
+    assert "Exchange" not in here._jdf.queryExecution().toString().split("MapInArrow")[0]      # nothing moves above the product
+    near = {r[0]: r["fold_margins"] for r in here.collect()}
+    monkeypatch.setattr("quarrydesk.operators.scans.MATRIX_BYTES", 1)
+    joined = {r[0]: r["fold_margins"] for r in models.margins(entries, trained.model, [ROW_SEQ]).collect()}
+    assert near.keys() == joined.keys() and all(np.allclose(near[k], joined[k]) for k in near)
+
+
+def test_boosted_trees_by_hand(spark, tmp_path):
+    """One tree for each class on one feature: cut, leaves and loss from the definition."""
+    x = [0.0, 0.0, 1.0, 1.0, 2.0, 2.0] * 10
+    code = [0, 0, 0, 1, 1, 1] * 10
+    rows = spark.createDataFrame([(i, c, 1.0, [(0, v), (1, 5.0)]) for i, (v, c) in enumerate(zip(x, code))],
+                                 "row_seq long, code int, weight double, entries array<struct<idx: int, x: double>>")
+    model = boosting.fit(rows, 2, 2, 2, 3, 2, 0.5)
+    assert np.isclose(model.losses[0], np.log(2)) and (np.diff(model.losses) < 0).all()
+    first = model.rounds[0][0]
+    # derivatives at the start: first +-0.5, second 0.5; the left side of the first cut has 20 rows of class 0
+    assert first.feature[0] == 0 and np.isclose(first.value[1], 0.5 * 10 / (10 + 1))
+    boosting.save(model, spark, str(tmp_path / "b"))
+    again = boosting.load(spark, str(tmp_path / "b"))
+    scores = [boosting.raw_scores(rows, m).orderBy("row_seq").select("raw").collect() for m in (model, again)]
+    assert scores[0] == scores[1]
+    assert [int(r["raw"][1] > r["raw"][0]) for r in scores[0]][:2] == [0, 0] and scores[0][4]["raw"][1] > scores[0][4]["raw"][0]
+
+
+def test_boosting_is_the_same_with_and_without_rewritten_scores(spark, monkeypatch):
+    rng = np.random.default_rng(0)
+    table = [(i, int(rng.integers(3)), float(rng.integers(1, 3)), [(j, float(v)) for j, v in enumerate(rng.normal(size=4))]) for i in range(200)]
+    rows = spark.createDataFrame(table, "row_seq long, code int, weight double, entries array<struct<idx: int, x: double>>")
+    plain = boosting.fit(rows, 4, 3, 2, 6, 3, 0.3)
+    monkeypatch.setattr(boosting, "REFRESH", 2)
+    assert np.allclose(plain.losses, boosting.fit(rows, 4, 3, 2, 6, 3, 0.3).losses)
+    assert (np.diff(plain.losses) <= 1e-12).all()
 
 
 def test_cleaned_stream_equals_batch(spark, sf_dir, tmp_path):
@@ -81,13 +205,25 @@ def test_cleaned_stream_equals_batch(spark, sf_dir, tmp_path):
 
 
 def test_sliding_windows_count_each_ticket_in_every_window(spark, sf_dir, tmp_path):
-    counts = jobs.volume_windows(jobs.clean_stream(Q._stream_of_raw(spark, sf_dir)), ["category"], "3650 days", "2 days", "1 day")
+    counts = jobs.volume_windows(jobs.clean_stream(Q._stream_of_raw(spark, sf_dir)), ["category"], "1 day", "2 days", "1 day")
     jobs.append_batches(counts, str(tmp_path / "w"), mode="update").awaitTermination()
     final = jobs.latest_counts(spark, str(tmp_path / "w"), ["window_start", "category"])
     rows = jobs.clean_stream(tables.raw_tickets(spark, sf_dir)).count()
     assert final.agg(F.sum("n")).first()[0] == 2 * rows
 
 
+def test_state_of_windows_expires_and_late_rows_are_dropped(spark, sf_dir, tmp_path):
+    stream = jobs.clean_stream(Q._stream_of_raw(spark, sf_dir, files=6, late=True))
+    run = jobs.append_batches(jobs.volume_windows(stream, ["product"], "1 day"), str(tmp_path / "w"), mode="update")
+    run.awaitTermination()
+    states = [p["stateOperators"][0] for p in run.recentProgress if p["stateOperators"]]
+    held = [s["numRowsTotal"] for s in states]
+    assert sum(s["numRowsRemoved"] for s in states) > 0
+    assert sum(s["numRowsDroppedByWatermark"] for s in states) > 0
+    windows = spark.read.parquet(str(tmp_path / "w")).select("window_start", "product").distinct().count()
+    assert max(held) < windows                              # the state never holds all windows
+
+
 def test_index_stream_appends_a_ticket_once(spark, sf_dir, tmp_path):
     raw = tables.raw_tickets(spark, sf_dir)
     source = str(tmp_path / "in")

@@ -177,7 +177,7 @@ def test_backfill_follows_active_features(spark):
 def test_csv_reader_keeps_corrupt_lines_and_missing_path_raises(spark, tmp_path):
     (tmp_path / "t.csv").write_text("ticket_id,customer_id,ticket_text,product,created_at,previous_tickets,resolution_time,priority,category,resolved\n"
                                     'A,c,"two\nlines",p,2024-01-01 00:00:00,1,NaN,LOW,x,true\nB,c,t,p,2024-01-01 00:00:00,oops,2,LOW,x,true\n')
-    good, bad = tickets.split_corrupt(tickets.read_raw_csv(spark, str(tmp_path / "t.csv")))
+    good, bad = tickets.split_corrupt(tickets.read_raw_csv(spark, str(tmp_path / "t.csv"), multi_line=True))
     row = good.collect()
     assert [(r["ticket_text"], r["resolution_time"]) for r in row] == [("two\nlines", None)]
     assert bad.count() == 1

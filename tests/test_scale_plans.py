@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 from quarrydesk.functions import ranking
 from quarrydesk.functions.quantiles import exact_quantiles
 from quarrydesk.operators import dedupe, neardup, retrieval, splits
+from quarrydesk.operators import tfidf as tf
+from quarrydesk.plans import cleaning as cleaning_plan
+from quarrydesk.sources import metrics_store, tickets
 
 
 def test_bucketed_quantiles_equal_numpy(spark):
@@ -121,7 +124,7 @@ def test_near_duplicates_equal_brute_force(spark):
         assert crossing == {flag: sum(same == flag and side[a] != side[b] for (a, b), (_, same) in want.items()) for flag in (True, False)}
 
 
-def test_grid_retrieval_equals_small_and_is_monotone(spark):
+def test_tiled_retrieval_equals_brute_force(spark, monkeypatch):
     rng = np.random.default_rng(1)
     vectors = rng.normal(size=(120, 8))
     vectors[:40] = vectors[0]                                # a third of the index is one vector
@@ -131,6 +134,59 @@ def test_grid_retrieval_equals_small_and_is_monotone(spark):
 
     def hits(**how):
         return {(r["query_id"], r["rank"]): r["ticket_id"] for r in retrieval.nearest(index, asked, **how).collect()}
-    small, grid = hits(k=5), hits(k=5, query_rows=30, index_rows=25)
-    assert small == grid and len(small) == 600
-    assert hits(k=3).items() <= small.items()
+    monkeypatch.setattr(retrieval, "QUERY_ROWS", 7)
+    whole, tiled = hits(k=5), hits(k=5, tile_rows=10)
+    assert whole == tiled and len(whole) == 600
+    assert hits(k=3).items() <= whole.items()
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    scores = np.round(unit @ unit.T, 9)
+    for q in (0, 39, 40, 119):
+        best = sorted(range(120), key=lambda i: (-scores[q, i], f"t{i:03d}"))[:5]
+        assert [whole[(f"t{q:03d}", r + 1)] for r in range(5)] == [f"t{i:03d}" for i in best]
+    assert len(hits(k=500)) == 120 * 120
+    other = spark.createDataFrame([("short", [1.0, 2.0]), ("none", None)], "query_id string, embedding array<double>")
+    assert retrieval.nearest(index, other, 5).count() == 0
+    assert retrieval.nearest(index.limit(0), asked, 5).count() == 0
+
+
+def test_candidate_pairs_stay_few(spark):
+    """Texts of rare words: candidates are the true pairs and few others, not the square of a posting list."""
+    rng = random.Random(5)
+    rows = [(i, f"T{i:04d}", "C", " ".join(rng.choices([f"w{k}" for k in range(400)], k=30))) for i in range(400)]
+    rows += [(400 + i, f"U{i:04d}", "C", t + " extra") for i, (_, _, _, t) in enumerate(rows[:40])]
+    df = spark.createDataFrame(rows, "row_seq long, ticket_id string, customer_id string, ticket_text string")
+    groups = neardup._group_vectors(neardup.vector_groups(tf.distinct_texts(df), 5000)).cache()
+    pairs = neardup.candidate_pairs(groups, 0.85)
+    found = pairs.collect()
+    assert len(found) == len(set(found)) <= 400
+    assert {(i, 400 + i) for i in range(40)} <= {(r["gid_1"], r["gid_2"]) for r in found}
+
+
+def test_csv_rows_keep_file_order_however_files_are_split(spark, tmp_path):
+    header = "ticket_id,customer_id,ticket_text,product,created_at,previous_tickets,resolution_time,priority,category,resolved\n"
+    n = 0
+    for name in ("a", "b", "c"):
+        lines = []
+        for _ in range(200):
+            lines.append(f"{n},c,text {n % 50},p,2024-01-01 00:00:00,1,2,LOW,x,true\n")
+            n += 1
+        (tmp_path / f"{name}.csv").write_text(header + "".join(lines))
+    held = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    kept = {}
+    for size in ("1000", held):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        good, _ = tickets.split_corrupt(tickets.read_raw_csv(spark, str(tmp_path), with_place=True))
+        rows = tickets.in_file_order(good, "row_seq").select("row_seq", "ticket_id").collect()
+        assert sorted(r["row_seq"] for r in rows) == list(range(600)) and all(r["row_seq"] == int(r["ticket_id"]) for r in rows)
+        out = cleaning_plan.clean_csv(spark, str(tmp_path / "*.csv"), str(tmp_path / f"out{size}"))
+        kept[size] = sorted(int(r["ticket_id"]) for r in out.collect())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", held)
+    assert kept["1000"] == kept[held] == list(range(50))      # the first of each copy
+
+
+def test_a_run_written_twice_has_one_set_of_metrics(spark, tmp_path):
+    row = spark.createDataFrame([("m", 0.5, 7)], "model string, accuracy double, n long")
+    for run in ("1", "2", "1"):
+        metrics_store.append_metrics(row, str(tmp_path / "m"), run)
+    got = metrics_store.read_metrics(spark, str(tmp_path / "m")).collect()
+    assert sorted((r["run_id"], r["metric"]) for r in got) == [("1", "accuracy"), ("1", "n"), ("2", "accuracy"), ("2", "n")]
