@@ -255,13 +255,13 @@ def has_letter(text: Column) -> Column:
     return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
 
 
-def _scorer(model, names_out: list[str]):
-    text_at, lettered_at = places = (len(names_out) - 3, len(names_out) - 2)
+def _scorer(model, names_out: list[str], text_col: str):
+    text_at = names_out.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = model.value
         for batch in batches:
-            for piece in slices(batch, "_lid_text"):
+            for piece in slices(batch, text_col):
                 names, scores, cuts = [], [], []
                 for counts in ngram_counts(piece.column(text_at)):
                     if not known.languages:
@@ -274,10 +274,10 @@ def _scorer(model, names_out: list[str]):
                     names += [known.languages[b] for b in best]
                     scores += np.clip(cosine[np.arange(len(best)), best], 0, 1).tolist()
                     cuts += known.reject_below[best, length_class(counts.sum(axis=1))].tolist()
-                lettered = piece.column(lettered_at).to_numpy(zero_copy_only=False)
+                lettered = piece.column(piece.num_columns - 1).to_numpy(zero_copy_only=False)
                 scores = np.where(lettered, np.array(scores, dtype=np.float64), 0.0)
                 names = [name if x else UNDETERMINED for name, x in zip(names, lettered)]
-                kept = [piece.column(k) for k in range(piece.num_columns) if k not in places]
+                kept = piece.columns[:-1]
                 yield pa.RecordBatch.from_arrays([*kept, pa.array(names, pa.string()), pa.array(scores), pa.array(
                     ~lettered | (scores < np.array(cuts, dtype=np.float64)))], names=names_out)
     return run
@@ -292,11 +292,10 @@ def with_language(docs: DataFrame, model: CentroidModel, text_col: str = "text")
     broadcast: its size is ``DIMENSIONS`` times the centroids, whatever the data.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    plain = docs.drop("lang_pred", "score", "rejected")
-    text = F.col(text_col).cast("string")
+    plain = docs.drop("lang_pred", "score", "rejected").withColumn(text_col, F.col(text_col).cast("string"))
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in plain.schema.fields]
-    asked = plain.select("*", text.alias("_lid_text"), has_letter(text).alias("_lid_lettered"))
-    return asked.mapInArrow(_scorer(shared, [*plain.columns, "lang_pred", "score", "rejected"]), ", ".join([*kinds, "lang_pred string", "score double", "rejected boolean"]))
+    asked = plain.select("*", has_letter(F.col(text_col)).alias("_lid_lettered"))
+    return asked.mapInArrow(_scorer(shared, [*plain.columns, "lang_pred", "score", "rejected"], text_col), ", ".join([*kinds, "lang_pred string", "score double", "rejected boolean"]))
 
 
 def identify_languages(docs: DataFrame, model: CentroidModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
