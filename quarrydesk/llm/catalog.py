@@ -77,16 +77,18 @@ def op6_imatch_fingerprints(spark, sf_dir):
     pairs = imatch.with_next(docs)
     edited = imatch.half_edited(F.col("text"), F.col("next_text"))
     key = ["doc_id", "repeat"]
-    own = pairs.select(*key, "next_id", F.xxhash64("next_text").alias("next_key"), F.xxhash64("text").alias("text_key"), "copy",
-                       F.length("text").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
-    both = pairs.select(*key, F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"),
+    own = pairs.select(*key, "next_id", F.xxhash64("next_text").alias("next_key"), F.length("text").alias("n_chars"),
+                       F.sha2(edited, 256).alias("edited_sha256"))
+    whose = [*key, "text_key", "copy"]
+    both = pairs.withColumn("text_key", F.xxhash64("text")).select(*whose, F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"),
                                                 F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("v"))
-    prints = write_out(imatch.fingerprints(both.select(*key, "v.kind", "v.text"), terms, [*key, "kind"]), "prints")
+    prints = write_out(imatch.fingerprints(both.select(*whose, "v.kind", "v.text"), terms, [*whose, "kind"]), "prints")
     plain = prints.where("kind = 0").select(*key, F.col("prints").alias("own"))
     changed = prints.where("kind = 1").select(*key, F.col("prints").alias("edited"))
     out = own.join(plain, key).join(changed, key)
     # of equal rows the first one stands for the text
-    following = out.where(~F.col("copy")).select(F.col("doc_id").alias("next_id"), F.col("text_key").alias("next_key"), F.col("own").alias("following"))
+    following = prints.where("kind = 0 AND NOT copy").select(
+        F.col("doc_id").alias("next_id"), F.col("text_key").alias("next_key"), F.col("prints").alias("following"))
     out = out.join(following, ["next_id", "next_key"])
     return out.select("doc_id", "n_chars", "edited_sha256", imatch.shown(F.col("own")).alias("fingerprint"),
                       imatch.shown(F.col("edited")).alias("edited_fingerprint"),
