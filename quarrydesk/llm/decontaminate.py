@@ -18,9 +18,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarrydesk.llm.words import Words, slices, text_bytes
+from quarrydesk.session import write_out
 
 K1, B = 1.2, 0.75
-#: Items of one index, at most about so many; more items make more indexes, each of which meets every document.
+#: Items of one index, at most about so many; more items make more indexes, each of which meets every document. All have
+#: the statistics of the whole table, so their number changes no score.
 INDEX_ITEMS = 10_000
 #: Items of a block of an index, with one largest impact for each term.
 BLOCK_ITEMS = 32
@@ -71,16 +73,31 @@ def _part(hashes: np.ndarray) -> tuple[int, np.ndarray]:
     return n, _overlap_grams(hashes, n) if n else hashes
 
 
-def build_index(item_ids: list[int], texts: list[str]) -> Index:
-    """An item's first half of words is its question, the rest its answer; items without words are never found."""
+@dataclass(frozen=True)
+class Statistics:
+    """Of all items of a table: their number, words of one on average and at most, and the items that hold a term."""
+    items: int
+    mean_words: float
+    longest: int
+    holders: dict[int, int]  # by term hash
+
+
+def build_index(item_ids: list[int], texts: list[str], whole: Statistics | None = None) -> Index:
+    """An item's first half of words is its question, the rest its answer; items without words are never found.
+
+    ``whole``: statistics of the table that the items are from; by default they are the table.
+    """
     words = plain_words(pa.array(texts, pa.string()))
     hashes, owner, n = words.hashes(), words.text_of(), len(texts)
     terms, term = np.unique(hashes, return_inverse=True)
     pair, tf = np.unique(term * max(n, 1) + owner, return_counts=True)
     term, item = pair // max(n, 1), pair % max(n, 1)
-    df = np.bincount(term, minlength=len(terms))
-    idf = np.log(1 + (n - df + 0.5) / (df + 0.5))
-    length = words.counts / max(words.counts.mean() if n else 1, 1e-9)
+    if whole is None:
+        whole = Statistics(n, float(words.counts.mean()) if n else 1.0, int(words.counts.max(initial=1)),
+                           dict(zip(terms.tolist(), np.bincount(term, minlength=len(terms)).tolist())))
+    df = np.array([whole.holders[t] for t in terms.tolist()], np.float64)
+    idf = np.log(1 + (whole.items - df + 0.5) / (df + 0.5))
+    length = words.counts / max(whole.mean_words, 1e-9)
     impacts = idf[term] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length[item]))
     best = np.bincount(item, weights=impacts, minlength=n)
     # terms become common from the lightest on while no item gets more than its share from them
@@ -97,7 +114,7 @@ def build_index(item_ids: list[int], texts: list[str]) -> Index:
     runs = [hashes[a:b] for a, b in zip(words.first[:-1], words.first[1:])]
     return Index(np.array(item_ids, np.int64), terms, first, item, impacts, common, best, held_back,
                  [_part(x[:(len(x) + 1) // 2]) for x in runs], [_part(x[(len(x) + 1) // 2:]) for x in runs],
-                 int(words.counts.max(initial=1)))
+                 whole.longest)
 
 
 class Searcher:
@@ -212,24 +229,43 @@ def _search(shared):
     return run
 
 
+def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Number of words and the distinct terms of each item."""
+    for batch in batches:
+        for piece in slices(batch):
+            words = plain_words(piece.column(1))
+            terms = [np.unique(x).view(np.int64) for x in np.split(words.hashes(), words.first[1:-1])]
+            yield pa.RecordBatch.from_arrays(
+                [piece.column(0), pa.array(words.counts.astype(np.int64)), pa.array(terms, pa.list_(pa.int64()))],
+                names=["part", "n_words", "terms"])
+
+
 def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """``doc_id, item_id, score_share, question_overlap, answer_overlap``: a row for each item a document holds.
 
-    Words are lower-cased, punctuation parts them. Document frequencies are those of an item's index. Null or empty texts and items
-    match nothing; a null doc_id is reported as null and items with a null id are left out; repeated rows and
-    repeated items are reported each. Without documents or items there are no rows. Each index is broadcast, and
-    its items are counted first: it has about ``INDEX_ITEMS`` of them.
+    Words are lower-cased, punctuation parts them. Document frequencies, mean length and passage length are those of all items.
+    Null or empty texts and items match nothing; a null doc_id is reported as null and items with a null id are left out;
+    repeated rows and repeated items are reported each. Without documents or items there are no rows. Each index is
+    broadcast with its own terms' frequencies, and its items are counted first: it has about ``INDEX_ITEMS`` of them.
     """
     spark = docs.sparkSession
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     known = items.select(F.col(item_id_col).cast("long").alias("item_id"), F.col(item_text_col).cast("string").alias("text")).where(
         "item_id IS NOT NULL AND text IS NOT NULL")
-    groups = -(-known.count() // INDEX_ITEMS)
-    out = spark.createDataFrame([], _HITS_DDL)
+    groups = max(1, -(-known.count() // INDEX_ITEMS))
+    known = known.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)))
+    terms = write_out(known.select("part", "text").mapInArrow(_item_terms, "part long, n_words long, terms array<long>"), "item_terms")
+    sizes = terms.agg(F.count("*").alias("items"), F.avg("n_words").alias("mean_words"), F.max("n_words").alias("longest")).first()
+    each = terms.select("part", F.explode("terms").alias("term"))
+    holders = write_out(each.groupBy("term").agg(F.count("*").alias("holders")), "item_holders")
+    out = None
     for g in range(groups):
-        rows = known.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(groups)) == g).orderBy("item_id", "text").collect()
-        index = spark.sparkContext.broadcast(build_index([r["item_id"] for r in rows], [r["text"] for r in rows]))
+        rows = known.where(F.col("part") == g).orderBy("item_id", "text").collect()
+        own = holders.join(each.where(F.col("part") == g).select("term"), "term", "left_semi").collect()
+        whole = Statistics(sizes["items"], sizes["mean_words"] or 1.0, max(sizes["longest"] or 1, 1),
+                           {r["term"] % (1 << 64): r["holders"] for r in own})
+        index = spark.sparkContext.broadcast(build_index([r["item_id"] for r in rows], [r["text"] for r in rows], whole))
         hits = source.mapInArrow(_search(index), _HITS_DDL)
-        out = hits if g == 0 else out.unionByName(hits)
+        out = hits if out is None else out.unionByName(hits)
     return out

@@ -278,6 +278,22 @@ def test_benchmark_items_are_found(spark, docs, empty):
     assert decontaminate.contaminated(docs, table.limit(0)).count() == 0
 
 
+def test_the_number_of_indexes_changes_no_score(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    vocabulary = [f"v{k}" for k in (400 * rng.random(600) ** 2).astype(int)]
+    items = [" ".join(rng.choice(vocabulary, n)) for n in rng.integers(6, 40, 60)]
+    rows = []
+    for i, item in enumerate(items):
+        words = item.split()
+        words[:i % 4] = ["changed"] * (i % 4)                # partial hits, near the limits
+        rows.append((i, " ".join([*rng.choice(vocabulary, 80), *words, *rng.choice(vocabulary, 50)])))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    table = spark.createDataFrame([*enumerate(items), (3, items[3])], "item_id long, text string")
+    one = sorted(map(tuple, decontaminate.contaminated(docs, table).collect()))
+    monkeypatch.setattr(decontaminate, "INDEX_ITEMS", 12)
+    assert len(one) > 20 and sorted(map(tuple, decontaminate.contaminated(docs, table).collect())) == one
+
+
 def test_index_blocks_lose_nothing():
     """Block-max search finds the same items as scoring every item for every passage."""
     rng = np.random.default_rng(9)
