@@ -271,8 +271,8 @@ def remove_repeats(docs: DataFrame, k: int = 13, with_text: bool = True, id_col:
     text = F.col(text_col).cast("string")
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_k"), text.alias("text")).where(
         "doc_id IS NOT NULL")
-    segments = write_out(source.mapInArrow(_segments(k, min(GRAM, k)), "doc_id long, text_k long, start long, n int, gram long, "
-                                           "content long"), "stretches")
+    # cut twice rather than written: most stretches meet no other, and their table would be as large as the texts
+    segments = source.mapInArrow(_segments(k, min(GRAM, k)), "doc_id long, text_k long, start long, n int, gram long, content long")
     met = segments.groupBy("gram").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).where("low < high")
     kept = write_out(segments.join(met.select("gram"), "gram", "left_semi"), "met")
     contents = write_out(kept.groupBy("gram", "content").agg(
