@@ -1,8 +1,8 @@
-"""Benchmark decontamination: BM25 over an inverted index of test items, searched by block-max WAND.
+"""Benchmark decontamination: BM25 over an inverted index of test items, searched by block maxima.
 
 Every passage of every document is a query. All items above a share of their own best score are retrieved: terms too
 common to lift any item over it are not looked at first, items are skipped block by block when the block's largest
-impacts cannot reach it, and what is left is scored in full. A hit counts when the passage also holds enough of
+impacts cannot reach it (two passes over arrays in place of WAND cursors), and what is left is scored in full. A hit counts when the passage also holds enough of
 the word sequences of both the item's question and its answer.
 """
 
