@@ -1,9 +1,9 @@
 """Benchmark decontamination: BM25 over an inverted index of test items, searched by block maxima.
 
 Every passage of every document is a query. All items above a share of their own best score are retrieved: terms too
-common to lift any item over it are not looked at first, items are skipped block by block when the block's largest
-impacts cannot reach it (two passes over arrays in place of WAND cursors), and what is left is scored in full. A hit counts when the passage also holds enough of
-the word sequences of both the item's question and its answer.
+common to lift any item over it are not looked at first, cursors over the other terms' postings find the items by
+block-max WAND, and what they find is scored in full. A hit counts when the passage also holds enough of the word
+sequences of both the item's question and its answer.
 """
 
 from __future__ import annotations
@@ -118,43 +118,82 @@ def build_index(item_ids: list[int], texts: list[str], whole: Statistics | None
 
 
 class Searcher:
-    """Block-max tables of an index, made once in a task."""
+    """Cursor tables of an index, made once in a task.
+
+    Impacts are shares of what an item's rare terms must reach, so that one threshold, 1, holds for all items.
+    """
 
     def __init__(self, index: Index):
         self.index = index
         self.gate = np.zeros(1 << _GATE_BITS, dtype=bool)
         self.gate[(index.terms[~index.common] >> np.uint64(64 - _GATE_BITS)).astype(np.int64)] = True
+        self.n = max(len(index.best), 1)
         term = np.repeat(np.arange(len(index.terms)), np.diff(index.first))
-        block = index.items // BLOCK_ITEMS
-        self.blocks = int(block.max(initial=0)) + 1
-        key = term * self.blocks + block
+        goal = SCORE_SHARE * index.best - index.held_back
+        goal[index.best <= 0] = np.inf
+        self.shares = index.impacts / goal[index.items]
+        self.postings = term * self.n + index.items
+        self.bound = np.zeros(len(index.terms))
+        np.maximum.at(self.bound, term, self.shares)
+        self.blocks = (self.n - 1) // BLOCK_ITEMS + 1
+        key = term * self.blocks + index.items // BLOCK_ITEMS
         cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
-        self.block_of = block[cut]
-        self.block_max = np.maximum.reduceat(index.impacts, cut) if len(cut) else index.impacts
-        self.block_first = np.searchsorted(term[cut], np.arange(len(index.terms) + 1))
-        self.goal = SCORE_SHARE * index.best - index.held_back
-        self.goal[index.best <= 0] = np.inf
-        owner = np.arange(len(index.best)) // BLOCK_ITEMS
-        self.block_goal = np.full(self.blocks, np.inf)
-        np.minimum.at(self.block_goal, owner, self.goal)
+        self.block_key = key[cut]
+        self.block_max = np.maximum.reduceat(self.shares, cut) if len(cut) else self.shares
+
+    def _block_bound(self, term: np.ndarray, item: np.ndarray) -> np.ndarray:
+        """Largest share of each term in the block of an item, 0 without postings there."""
+        key = term * self.blocks + item // BLOCK_ITEMS
+        at = np.minimum(np.searchsorted(self.block_key, key), len(self.block_key) - 1)
+        return np.where(self.block_key[at] == key, self.block_max[at], 0.0)
 
     def candidates(self, passage: np.ndarray, term: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(passage, item) pairs whose rare terms alone may lift the item over its goal; pairs of input are distinct."""
-        index = self.index
-        at, which = _ranges(self.block_first, term)
-        key, place = np.unique(passage[which] * self.blocks + self.block_of[at], return_inverse=True)
-        open_block = np.bincount(place, weights=self.block_max[at]) + 1e-9 >= self.block_goal[key % self.blocks]
-        alive = key[open_block]
-        if not len(alive):
-            return alive, alive
-        near = np.isin(passage, alive // self.blocks)
-        at, which = _ranges(index.first, term[near])
-        owner = passage[near][which]
-        item = index.items[at]
-        keep = np.isin(owner * self.blocks + item // BLOCK_ITEMS, alive)
-        key, place = np.unique(owner[keep] * len(index.best) + item[keep], return_inverse=True)
-        enough = np.bincount(place, weights=index.impacts[at[keep]]) + 1e-9 >= self.goal[key % len(index.best)]
-        return key[enough] // len(index.best), key[enough] % len(index.best)
+        """(passage, item) pairs whose rare terms alone may lift the item over its goal; pairs of input are distinct.
+
+        Block-max WAND, a cursor for each pair of input; the cursors of all passages take their steps together. A step
+        orders a passage's cursors by item and finds the pivot, the first item that the terms' bounds up to it allow.
+        Where the bounds of the pivot's block fall short, the cursors before it leave the block or go to the next
+        cursor's item. Else those behind the pivot go to it, or, all being there, it is scored. A passage without a
+        pivot is done.
+        """
+        at, end = self.index.first[term], self.index.first[term + 1]
+        found = []
+        while len(passage):
+            item = self.postings[at] - term * self.n
+            order = np.lexsort((item, passage))
+            passage, term, at, end, item = passage[order], term[order], at[order], end[order], item[order]
+            head = np.flatnonzero(np.append(True, passage[1:] != passage[:-1]))
+            size = np.diff(np.append(head, len(passage)))
+            reach = np.cumsum(self.bound[term])
+            reach -= np.repeat(reach[head] - self.bound[term[head]], size)
+            place = np.arange(len(passage))
+            pivot = np.minimum.reduceat(np.where(reach + 1e-9 >= 1, place, len(place)), head)
+            going = pivot < len(place)
+            aim = item[pivot[going]]
+            keep = np.repeat(going, size)
+            passage, term, at, end, item = passage[keep], term[keep], at[keep], end[keep], item[keep]
+            if not len(passage):
+                break
+            size = size[going]
+            head = np.append(0, np.cumsum(size)[:-1])
+            wide = np.repeat(aim, size)
+            front = item <= wide
+            ahead = np.minimum.reduceat(np.where(front, self.n, item), head)
+            block = np.add.reduceat(np.where(front, self._block_bound(term, wide), 0.0), head)
+            closed = block + 1e-9 < 1
+            reached = ~closed & (item[head] == aim)
+            score = np.add.reduceat(np.where(item == wide, self.shares[at], 0.0), head)
+            hit = reached & (score + 1e-9 >= 1)
+            found.append((passage[head[hit]], aim[hit]))
+            target = np.where(closed, np.minimum((aim // BLOCK_ITEMS + 1) * BLOCK_ITEMS, ahead), aim + reached)
+            target = np.repeat(target, size)
+            moves = item < target
+            at[moves] = np.searchsorted(self.postings, term[moves] * self.n + target[moves])
+            live = at < end
+            passage, term, at, end = passage[live], term[live], at[live], end[live]
+        if not found:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found])
 
     def score(self, words: np.ndarray, item: int) -> float:
         """BM25 of one item for a passage, as a share of its score for itself."""

@@ -294,19 +294,20 @@ def test_the_number_of_indexes_changes_no_score(spark, monkeypatch):
     assert len(one) > 20 and sorted(map(tuple, decontaminate.contaminated(docs, table).collect())) == one
 
 
-def test_index_blocks_lose_nothing():
-    """Block-max search finds the same items as scoring every item for every passage."""
+@pytest.mark.parametrize("items,low,high", [(80, 12, 13), (400, 3, 30), (1, 5, 6)])
+def test_cursors_find_what_scoring_every_item_finds(items, low, high):
     rng = np.random.default_rng(9)
-    words = [f"v{k}" for k in range(120)]
-    index = decontaminate.build_index(list(range(80)), [" ".join(rng.choice(words, 12)) for _ in range(80)])
+    words = [f"v{k}" for k in (150 * rng.random(900) ** 2).astype(int)]
+    index = decontaminate.build_index(list(range(items)), [" ".join(rng.choice(words, rng.integers(low, high))) for _ in range(items)])
     searcher = decontaminate.Searcher(index)
-    for _ in range(40):
-        passage = np.unique(rng.choice(index.terms, 25))
-        term = np.searchsorted(index.terms, passage)
-        term = term[~index.common[term]]
-        _, items = searcher.candidates(np.zeros(len(term), np.int64), term)
-        wanted = {i for i in range(80) if searcher.score(passage, i) >= decontaminate.SCORE_SHARE}
-        assert wanted <= set(items.tolist())
+    passages = [np.unique(rng.choice(index.terms, 25)) for _ in range(60)]
+    rare = [t[~index.common[t]] for t in (np.searchsorted(index.terms, p) for p in passages)]
+    found = list(zip(*(x.tolist() for x in searcher.candidates(np.repeat(np.arange(60), [len(t) for t in rare]), np.concatenate(rare)))))
+    exact = {(p, i) for p, terms in enumerate(rare) for i in range(items)
+             if sum(searcher.shares[k] for t in terms for k in range(index.first[t], index.first[t + 1]) if index.items[k] == i) + 1e-9 >= 1}
+    assert len(found) == len(set(found)) and set(found) == exact
+    wanted = {(p, i) for p in range(60) for i in range(items) if searcher.score(passages[p], i) >= decontaminate.SCORE_SHARE}
+    assert wanted <= exact
 
 
 def plain_spans(text):
