@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 import unicodedata
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -15,6 +17,10 @@ from pyspark.sql.types import StringType
 WHITE_RUN = r"(?U)[\s\x1c-\x1f]+"
 # A token is two or more word characters.
 TOKEN = r"[\p{L}\p{N}_]{2,}"
+# Hangul syllables are numbered by lead, vowel and tail; the first tail stands for none.
+FIRST_SYLLABLE, LAST_SYLLABLE = 0xAC00, 0xD7A3
+FIRST_LEAD, FIRST_VOWEL, FIRST_TAIL = 0x1100, 0x1161, 0x11A7
+LEADS, VOWELS, TAILS = 19, 21, 28
 # ----------------------------------------------------------------------------
 
 
@@ -39,24 +45,58 @@ def word_count_normalised(text: Column) -> Column:
 
 
 @lru_cache(maxsize=1)
-def _accent_table() -> tuple[str, str]:
-    """Every BMP character that decomposes to one base character plus marks."""
-    source, target = [], []
-    for code in range(0x80, 0x10000):
-        if 0xD800 <= code <= 0xDFFF:
+def _decompositions() -> dict[str, str]:
+    """Every character beyond ASCII, Hangul syllables aside, that compatibility decomposition without marks changes."""
+    out = {}
+    for code in range(0x80, sys.maxunicode + 1):
+        if 0xD800 <= code <= 0xDFFF or FIRST_SYLLABLE <= code <= LAST_SYLLABLE:
             continue
         char = chr(code)
-        base = [c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c)]
-        if len(base) == 1 and base[0] != char:
-            source.append(char)
-            target.append(base[0])
-    return "".join(source), "".join(target)
+        bare = "".join(c for c in unicodedata.normalize("NFKD", char) if not unicodedata.combining(c))
+        if bare != char:
+            out[char] = bare
+    return out
+
+
+def _character_class(characters: list[str]) -> str:
+    """Regex class of characters in ascending order, neighbours as ranges."""
+    codes = np.array([ord(c) for c in characters])
+    runs = np.split(codes, np.flatnonzero(np.diff(codes) > 1) + 1)
+    return "[" + "".join(f"\\x{{{run[0]:X}}}-\\x{{{run[-1]:X}}}" for run in runs) + "]"
+
+
+def _syllable_parts(char: Column) -> Column:
+    """The two or three letters of a Hangul syllable."""
+    place = F.ascii(char) - FIRST_SYLLABLE
+
+    def letter(first: int, count: int, index: Column) -> Column:
+        return F.substring(F.lit("".join(chr(first + k) for k in range(count))), index.cast("int") + 1, F.lit(1))
+    tail = place % TAILS
+    return F.concat(letter(FIRST_LEAD, LEADS, F.floor(place / (VOWELS * TAILS))),
+                    letter(FIRST_VOWEL, VOWELS, F.floor(place / TAILS) % VOWELS),
+                    F.when(tail == 0, F.lit("")).otherwise(letter(FIRST_TAIL + 1, TAILS - 1, tail - 1)))
 
 
 def strip_accents(text: Column) -> Column:
-    """Compatibility-decompose and drop marks, for one-to-one characters."""
-    source, target = _accent_table()
-    return F.translate(F.regexp_replace(text, r"\p{Mn}+", ""), source, target)
+    """Compatibility-decompose and drop marks: ``strip_accents_nfkd`` as a column expression.
+
+    Characters that become one character or none are translated. Only texts with ligatures, fractions, syllables and the
+    like, that become several, are taken apart.
+    """
+    table = _decompositions()
+    single = sorted(table, key=lambda c: -len(table[c]))  # translate drops characters without a counterpart
+    single = [c for c in single if len(table[c]) < 2]
+    several = [c for c in table if len(table[c]) > 1]
+    expanded = F.create_map(*[F.lit(x) for c in several for x in (c, table[c])])
+
+    def apart(char: Column) -> Column:
+        return (F.when(char < chr(0x80), char)
+                 .when(char.between(chr(FIRST_SYLLABLE), chr(LAST_SYLLABLE)), _syllable_parts(char))
+                 .otherwise(F.coalesce(F.try_element_at(expanded, char), char)))
+    syllables = f"[\\x{{{FIRST_SYLLABLE:X}}}-\\x{{{LAST_SYLLABLE:X}}}]"
+    in_parts = F.array_join(F.transform(F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0)), apart), "")
+    longer = F.when(text.rlike(f"{_character_class(several)}|{syllables}"), in_parts).otherwise(text)
+    return F.when(text.rlike(r"[^\x00-\x7F]"), F.translate(longer, "".join(single), "".join(table[c] for c in single))).otherwise(text)
 
 
 @F.pandas_udf(StringType())

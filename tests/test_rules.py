@@ -80,6 +80,15 @@ def test_accent_forms_agree(spark):
     assert row[0] == row[1] == "Uberraß Senor naive ete"
 
 
+def test_accents_of_every_character(spark):
+    codes = [c for c in range(1, 0x110000) if not 0xD800 <= c <= 0xDFFF]
+    rows = [(codes[k], "".join(map(chr, codes[k:k + 400]))) for k in range(0, len(codes), 400)]
+    rows += [(-k, t) for k, t in enumerate(["", "ab", "\ufb01n", "x\uac01\u0301y\U0001d400", "\u0301", None])]
+    df = spark.createDataFrame(rows, "k int, t string")
+    got = df.select("k", text.strip_accents(F.col("t")).alias("ours"), text.strip_accents_nfkd(F.col("t")).alias("full")).collect()
+    assert len(got) == len(rows) and [r["k"] for r in got if r["ours"] != r["full"]] == []
+
+
 def test_bigrams_guard_short_lists(spark):
     df = spark.createDataFrame([(["a"],), ([],), (["a", "b", "c"],)], "t array<string>")
     assert column(df.select(text.bigrams(F.col("t")).alias("b")), "b") == [[], [], ["a b", "b c"]]
