@@ -77,15 +77,16 @@ def op6_imatch_fingerprints(spark, sf_dir):
     pairs = imatch.with_next(docs)
     edited = imatch.half_edited(F.col("text"), F.col("next_text"))
     key = ["doc_id", "repeat"]
-    own = pairs.select(*key, "next_id", F.xxhash64("next_text").alias("next_key"), F.length("text").alias("n_chars"),
-                       F.sha2(edited, 256).alias("edited_sha256"))
-    whose = [*key, "text_key", "copy"]
-    both = pairs.withColumn("text_key", F.xxhash64("text")).select(*whose, F.explode(F.array(F.struct(F.lit(0).alias("kind"), "text"),
-                                                F.struct(F.lit(1).alias("kind"), edited.alias("text")))).alias("v"))
-    prints = write_out(imatch.fingerprints(both.select(*whose, "v.kind", "v.text"), terms, [*whose, "kind"]), "prints")
+    # what else the rows need travels with the print of the edited text, so the texts are placed and moved once
+    whose = [*key, "next_id", "next_key", "text_key", "copy", "n_chars"]
+    named = pairs.withColumns({"next_key": F.xxhash64("next_text"), "text_key": F.xxhash64("text"), "n_chars": F.length("text")})
+    both = named.select(*whose, F.inline(F.array(
+        F.struct(F.lit(0).alias("kind"), "text", F.lit(None).cast("string").alias("edited_sha256")),
+        F.struct(F.lit(1).alias("kind"), edited.alias("text"), F.sha2(edited, 256).alias("edited_sha256")))))
+    prints = write_out(imatch.fingerprints(both, terms, [*whose, "kind", "edited_sha256"]), "prints")
     plain = prints.where("kind = 0").select(*key, F.col("prints").alias("own"))
-    changed = prints.where("kind = 1").select(*key, F.col("prints").alias("edited"))
-    out = own.join(plain, key).join(changed, key)
+    changed = prints.where("kind = 1").select(*key, "next_id", "next_key", "n_chars", "edited_sha256", F.col("prints").alias("edited"))
+    out = changed.join(plain, key)
     # of equal rows the first one stands for the text
     following = prints.where("kind = 0 AND NOT copy").select(
         F.col("doc_id").alias("next_id"), F.col("text_key").alias("next_key"), F.col("prints").alias("following"))

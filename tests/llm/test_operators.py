@@ -381,6 +381,13 @@ def test_prints_of_repeated_rows(spark, tmp_path):
     assert {r["near_next"] for r in got if r["doc_id"] == 5} >= {1.0}
 
 
+def test_prints_place_the_texts_once(spark, tmp_path):
+    spark.createDataFrame([(i, f"a b{i % 3} c{i % 5}") for i in range(30)], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    plan = catalog.op6_imatch_fingerprints(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "doc_id" in plan      # the result is joined from the written prints alone
+
+
 def test_shards_hold_whole_rows(spark):
     rows = spark.createDataFrame([(i % 30, f"text {i}", 9, "x") for i in range(200)], "doc_id long, text string, slot int, shard string")
     got = sharding.shard_exactly(rows, ["doc_id", "text"], 8)
