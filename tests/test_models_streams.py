@@ -224,6 +224,21 @@ def test_state_of_windows_expires_and_late_rows_are_dropped(spark, sf_dir, tmp_p
     assert max(held) < windows                              # the state never holds all windows
 
 
+def test_a_lot_of_the_stream_is_many_files_and_one_batch(spark, sf_dir, tmp_path, monkeypatch):
+    raw = tables.raw_tickets(spark, sf_dir).where("created_at like '2024-%'")
+    raw.repartition(6).write.parquet(str(tmp_path / "raw"))
+    monkeypatch.setattr(Q, "_raw", lambda spark, sf: spark.read.parquet(str(tmp_path / "raw")))
+    monkeypatch.setattr(Q, "scratch_path", lambda spark, name: str(tmp_path / name))
+    stream = Q._stream_of_raw(spark, sf_dir, files=3)
+    jobs.append_batches(stream, str(tmp_path / "out")).awaitTermination()
+    files = spark.read.parquet(str(tmp_path / "stream_in")).groupBy(F.input_file_name()).count().collect()
+    lots = spark.read.parquet(str(tmp_path / "out")).groupBy("batch_id").agg(
+        F.min("created_at").alias("low"), F.max("created_at").alias("high"), F.count("*").alias("n")).orderBy("batch_id").collect()
+    assert len(lots) == 3 and sum(r["n"] for r in lots) == raw.count()
+    assert all(a["high"] < b["low"] for a, b in zip(lots, lots[1:]))
+    assert len(files) > 6 and max(r["count"] for r in files) < min(r["n"] for r in lots)
+
+
 def test_index_stream_appends_a_ticket_once(spark, sf_dir, tmp_path):
     raw = tables.raw_tickets(spark, sf_dir)
     source = str(tmp_path / "in")
