@@ -5,6 +5,7 @@ from collections import Counter
 from math import log, sqrt
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from quarrydesk.functions import ranking
@@ -184,6 +185,30 @@ def test_csv_rows_keep_file_order_however_files_are_split(spark, tmp_path):
     assert kept["1000"] == kept[held] == list(range(50))      # the first of each copy
 
 
+def test_cells_are_compared_piece_by_piece():
+    rng = np.random.default_rng(4)
+
+    def cell(rows, sides, j):
+        rks = [sorted(rng.choice(12, 6, replace=False).tolist()) for _ in range(rows)]
+        rks = [sorted({0, *r}) for r in rks]
+        ws = [(w := np.float32(rng.random(len(r)) + 0.2)) / np.linalg.norm(w) for r in rks]
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in (
+            ([0] * rows, pa.int32()), ([0] * rows, pa.int32()), ([j] * rows, pa.int32()), (sides, pa.int32()), (range(rows), pa.int64()),
+            (rks, pa.list_(pa.int32())), (ws, pa.list_(pa.float32())), ([0.05] * rows, pa.float64()))],
+            names=["rk", "i", "j", "side", "gid", "rks", "ws", "rest"])
+
+    for sides, j in ([0] * 60, 0), ([0, 1, 1] * 20, 1):
+        batch = cell(60, sides, j)
+        whole, pieces = ([(int(min(p)), int(max(p))) for a, b in neardup._cell_pairs([batch.slice(0, 25), batch.slice(25)], 0.85, piece)
+                          for p in zip(a, b)] for piece in (1_024, 7))
+        assert whole and sorted(whole) == sorted(pieces) and len(set(whole)) == len(whole)
+
+
+def test_a_posting_is_sent_to_a_bounded_number_of_cells(spark):
+    rows = spark.createDataFrame([(m,) for m in (2, 32_768, 32_769, 500_000, 4_000_000, 40_000_000)], "m long")
+    assert [r[0] for r in rows.select(neardup.block_count(F.col("m"))).collect()] == [1, 1, 2, 16, 16, 153]
+
+
 def test_a_run_written_twice_has_one_set_of_metrics(spark, tmp_path):
     row = spark.createDataFrame([("m", 0.5, 7)], "model string, accuracy double, n long")
     for run in ("1", "2", "1"):
