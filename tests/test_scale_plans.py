@@ -209,6 +209,26 @@ def test_a_posting_is_sent_to_a_bounded_number_of_cells(spark):
     assert [r[0] for r in rows.select(neardup.block_count(F.col("m"))).collect()] == [1, 1, 2, 16, 16, 153]
 
 
+def test_queries_and_tiles_meet_in_a_grid(spark):
+    rng = np.random.default_rng(2)
+    vectors = [(f"t{i:05d}", [float(x) for x in rng.integers(-3, 4, 5)]) for i in range(9_000)]
+    index = retrieval.build_index(spark.createDataFrame([(i, "", v) for i, v in vectors if any(v)],
+                                                        "ticket_id string, ticket_text string, embedding array<double>"))
+    asked = spark.createDataFrame([v for v in vectors[:40] if any(v[1])], "query_id string, embedding array<double>")
+    # a task for each of 4 shuffle partitions: two tiles by two groups, where each query went to four tiles
+    dealt = retrieval.nearest(index, asked, 3)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" in dealt and ", 4\n" in dealt
+    found = {(r["query_id"], r["rank"]): (r["ticket_id"], r["score"]) for r in retrieval.nearest(index, asked, 3).collect()}
+    known = {r["ticket_id"]: np.array(r["embedding"]) for r in index.collect()}
+    names = sorted(known)
+    table = np.stack([known[n] for n in names])
+    for name, v in (v for v in vectors[:40] if any(v[1])):
+        scores = np.round(table @ (np.array(v) / np.linalg.norm(v)), 9)
+        best = sorted(range(len(names)), key=lambda i: (-scores[i], names[i]))[:3]
+        assert [found[name, k + 1][0] for k in range(3)] == [names[i] for i in best]
+        assert np.allclose([found[name, k + 1][1] for k in range(3)], scores[best])
+
+
 def test_a_run_written_twice_has_one_set_of_metrics(spark, tmp_path):
     row = spark.createDataFrame([("m", 0.5, 7)], "model string, accuracy double, n long")
     for run in ("1", "2", "1"):
