@@ -13,7 +13,7 @@ from quarrydesk.functions.quantiles import exact_quantiles
 from quarrydesk.operators import dedupe, neardup, retrieval, splits
 from quarrydesk.operators import tfidf as tf
 from quarrydesk.plans import cleaning as cleaning_plan
-from quarrydesk.sources import metrics_store, tickets
+from quarrydesk.sources import metrics_store, tables, tickets
 
 
 def test_bucketed_quantiles_equal_numpy(spark):
@@ -209,7 +209,7 @@ def test_a_posting_is_sent_to_a_bounded_number_of_cells(spark):
     assert [r[0] for r in rows.select(neardup.block_count(F.col("m"))).collect()] == [1, 1, 2, 16, 16, 153]
 
 
-def test_queries_and_tiles_meet_in_a_grid(spark):
+def test_queries_and_tiles_meet_in_a_grid(spark, monkeypatch):
     rng = np.random.default_rng(2)
     vectors = [(f"t{i:05d}", [float(x) for x in rng.integers(-3, 4, 5)]) for i in range(9_000)]
     index = retrieval.build_index(spark.createDataFrame([(i, "", v) for i, v in vectors if any(v)],
@@ -228,6 +228,17 @@ def test_queries_and_tiles_meet_in_a_grid(spark):
         assert [found[name, k + 1][0] for k in range(3)] == [names[i] for i in best]
         assert np.allclose([found[name, k + 1][1] for k in range(3)], scores[best])
 
+    def arrivals(k):
+        def run(batches):
+            for b in batches:
+                asked_here = b.filter(pa.array(b.column(1).to_numpy() == 1))
+                yield pa.RecordBatch.from_arrays([asked_here.column(2), asked_here.column(0).cast(pa.string()), pa.array([0.0] * asked_here.num_rows)],
+                                                 names=["query_id", "ticket_id", "score"])
+        return run
+    monkeypatch.setattr(retrieval, "_tile_hits", arrivals)
+    # a task for each of 4 shuffle partitions: two tiles by two groups, so a query is sent twice and not four times
+    assert retrieval.nearest(index, asked, 9).groupBy("query_id").count().agg(F.max("count")).first()[0] == 2
+
 
 def test_a_run_written_twice_has_one_set_of_metrics(spark, tmp_path):
     row = spark.createDataFrame([("m", 0.5, 7)], "model string, accuracy double, n long")
@@ -235,3 +246,13 @@ def test_a_run_written_twice_has_one_set_of_metrics(spark, tmp_path):
         metrics_store.append_metrics(row, str(tmp_path / "m"), run)
     got = metrics_store.read_metrics(spark, str(tmp_path / "m")).collect()
     assert sorted((r["run_id"], r["metric"]) for r in got) == [("1", "accuracy"), ("1", "n"), ("2", "accuracy"), ("2", "n")]
+
+
+def test_tickets_are_numbered_without_their_texts(spark, sf_dir):
+    plan = tables.derive_raw_tickets(spark, sf_dir)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    depth = [len(line) - len(line.lstrip(" :+-")) for line in plan]
+    windows = [k for k, line in enumerate(plan) if line.lstrip(" :+-").startswith("Window ")]
+    assert windows
+    for k in windows:
+        below = [line for line, d in zip(plan[k + 1:], depth[k + 1:]) if d > depth[k]]
+        assert not any("text#" in line for line in below if "Project [" in line)
