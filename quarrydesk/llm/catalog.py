@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarrydesk.llm import (byte_bpe, decontaminate, imatch, language_id, parity_join, pii, prefix_trie, quality,
@@ -74,27 +74,23 @@ def op5_substring_dedup(spark, sf_dir):
 def op6_imatch_fingerprints(spark, sf_dir):
     docs = documents(spark, sf_dir)
     terms = write_out(imatch.lexicon(docs), "lexicon")
-    pairs = imatch.with_next(docs)
+    pairs = imatch.with_next(docs, guests=True)
     edited = imatch.half_edited(F.col("text"), F.col("next_text"))
-    key = ["doc_id", "repeat"]
-    # what else the rows need travels with the print of the edited text, so the texts are placed and moved once
-    whose = [*key, "next_id", "next_key", "text_key", "copy", "n_chars"]
-    named = pairs.withColumns({"next_key": F.xxhash64("next_text"), "text_key": F.xxhash64("text"), "n_chars": F.length("text")})
-    both = named.select(*whose, F.inline(F.array(
+    # prints are summed up and meet their neighbours' in the ranges of the texts, which are placed and moved once
+    whose = ["range", "repeat", "guest", "doc_id", "n_chars"]
+    both = pairs.withColumn("n_chars", F.length("text")).select(*whose, F.inline(F.array(
         F.struct(F.lit(0).alias("kind"), "text", F.lit(None).cast("string").alias("edited_sha256")),
         F.struct(F.lit(1).alias("kind"), edited.alias("text"), F.sha2(edited, 256).alias("edited_sha256")))))
-    prints = write_out(imatch.fingerprints(both, terms, [*whose, "kind", "edited_sha256"]), "prints")
-    plain = prints.where("kind = 0").select(*key, F.col("prints").alias("own"))
-    changed = prints.where("kind = 1").select(*key, "next_id", "next_key", "n_chars", "edited_sha256", F.col("prints").alias("edited"))
-    out = changed.join(plain, key)
-    # of equal rows the first one stands for the text
-    following = prints.where("kind = 0 AND NOT copy").select(
-        F.col("doc_id").alias("next_id"), F.col("text_key").alias("next_key"), F.col("prints").alias("following"))
-    out = out.join(following, ["next_id", "next_key"])
+    prints = imatch.fingerprints(both, terms, [*whose, "kind", "edited_sha256"])
+    # two rows a text: an edited text's print stands after the text's own, which stands after both of the next document
+    order = Window.partitionBy("range").orderBy("repeat", "kind")
+    met = prints.select("*", F.lag("prints", 1).over(order).alias("own"), F.lag("prints", 3).over(order).alias("following"))
+    out = write_out(met.where("kind = 1 AND NOT guest").select(
+        "doc_id", "n_chars", "edited_sha256", "own", F.col("prints").alias("edited"),
+        imatch.likeness(F.col("own"), F.col("prints")).alias("near_edited"),
+        imatch.likeness(F.col("own"), F.col("following")).alias("near_next")), "prints")
     return out.select("doc_id", "n_chars", "edited_sha256", imatch.shown(F.col("own")).alias("fingerprint"),
-                      imatch.shown(F.col("edited")).alias("edited_fingerprint"),
-                      imatch.likeness(F.col("own"), F.col("edited")).alias("near_edited"),
-                      imatch.likeness(F.col("own"), F.col("following")).alias("near_next"))
+                      imatch.shown(F.col("edited")).alias("edited_fingerprint"), "near_edited", "near_next")
 
 
 @query

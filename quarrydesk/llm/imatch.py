@@ -69,10 +69,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(F.size(held) == 0, F.lit(1.0)).otherwise(same.cast("double") / F.size(held))
 
 
-def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, text, next_id, next_text, repeat, copy``: the next document by descending id; after the last comes the first.
+def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", guests: bool = False) -> DataFrame:
+    """``doc_id, text, next_id, next_text, repeat, copy, range``: the next document by descending id; after the last comes the first.
 
-    ``repeat`` tells rows of one id apart, ``copy`` marks a row whose id and text an earlier row has.
+    ``repeat`` is a row's place in its range and tells rows of one id apart, ``copy`` marks a row whose id and text an
+    earlier row has. With ``guests`` the texts that stand before a range stay as rows, marked by a column ``guest``.
 
     Ids are cut into ranges; each text moves once, and the last text of a range also goes to the following one. Rows of
     one id are ordered by their text. Rows with a null id are left out, and null texts are empty.
@@ -87,7 +88,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     ranged = rows.withColumn("range", F.size(F.filter(bounds, lambda m: m < F.col("doc_id"))))
     ends = ranged.groupBy("range").agg(F.max("doc_id").alias("top")).orderBy("range").collect()
     if not ends:
-        return rows.withColumns({"next_id": F.col("doc_id"), "next_text": F.col("text"), "repeat": F.lit(1), "copy": F.lit(False)})
+        alone = rows.withColumns({"next_id": F.col("doc_id"), "next_text": F.col("text"), "repeat": F.lit(1), "copy": F.lit(False),
+                                  "range": F.lit(0)})
+        return alone.withColumn("guest", F.lit(False)) if guests else alone
     # the greatest id of a range goes on to the next filled range, that of the last range to the first one
     onward = {r["top"]: ends[(k + 1) % len(ends)]["range"] for k, r in enumerate(ends)}
     goes = spark.createDataFrame(list(onward.items()), "doc_id long, onward int")
@@ -97,11 +100,11 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     copies = copies.select("doc_id", "text", F.col("at.range").alias("range"), F.col("at.guest").alias("guest"))
     # a guest stands before its range, whatever its id
     order = Window.partitionBy("range").orderBy(F.col("guest").desc(), "doc_id", "text")
-    return copies.select("doc_id", "text", "guest", F.lag("doc_id").over(order).alias("next_id"),
-                         F.lag("text").over(order).alias("next_text"), F.row_number().over(order).alias("repeat"),
-                         F.coalesce(~F.lag("guest").over(order) & (F.lag("doc_id").over(order) == F.col("doc_id"))
-                                    & (F.lag("text").over(order) == F.col("text")), F.lit(False)).alias("copy"),
-                         "range").where(~F.col("guest")).drop("guest")
+    placed = copies.select("doc_id", "text", "guest", F.lag("doc_id").over(order).alias("next_id"),
+                           F.lag("text").over(order).alias("next_text"), F.row_number().over(order).alias("repeat"),
+                           F.coalesce(~F.lag("guest").over(order) & (F.lag("doc_id").over(order) == F.col("doc_id"))
+                                      & (F.lag("text").over(order) == F.col("text")), F.lit(False)).alias("copy"), "range")
+    return placed if guests else placed.where(~F.col("guest")).drop("guest")
 
 
 def half_edited(text: Column, next_text: Column) -> Column:

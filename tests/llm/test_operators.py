@@ -388,6 +388,20 @@ def test_prints_place_the_texts_once(spark, tmp_path):
     assert "Window" not in plan and "doc_id" in plan      # the result is joined from the written prints alone
 
 
+def test_prints_meet_their_neighbours_without_another_shuffle(spark, tmp_path, monkeypatch):
+    spark.createDataFrame([(i, f"a b{i % 3} c{i % 5}") for i in range(30)], "doc_id long, text string").write.parquet(
+        str(tmp_path / "documents.parquet"))
+    plans, write = {}, catalog.write_out
+    monkeypatch.setattr(catalog, "write_out", lambda df, name: (
+        plans.update({name: df._jdf.queryExecution().executedPlan().toString()}), write(df, name))[1])
+    out = catalog.op6_imatch_fingerprints(spark, str(tmp_path))
+    assert plans["prints"].count("Exchange hashpartitioning") == 1
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+    got = {r["doc_id"]: r for r in out.collect()}
+    prints = {i: r["fingerprint"] for i, r in got.items()}
+    assert len(got) == 30 and all((r["near_next"] == 1) == (prints[i] == prints[(i - 1) % 30]) for i, r in got.items())
+
+
 def test_shards_hold_whole_rows(spark):
     rows = spark.createDataFrame([(i % 30, f"text {i}", 9, "x") for i in range(200)], "doc_id long, text string, slot int, shard string")
     got = sharding.shard_exactly(rows, ["doc_id", "text"], 8)
