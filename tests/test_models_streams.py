@@ -186,6 +186,38 @@ def test_boosted_trees_by_hand(spark, tmp_path):
     assert [int(r["raw"][1] > r["raw"][0]) for r in scores[0]][:2] == [0, 0] and scores[0][4]["raw"][1] > scores[0][4]["raw"][0]
 
 
+def test_boosting_sends_few_sets_of_histograms(spark, monkeypatch):
+    class Stop(Exception):
+        pass
+
+    def fit(rows, features, classes, parts, *rest):
+        raise Stop(parts)
+    rows = [(i, f"C-{i % 9}", f"w{i % 5} w{i % 3} other", "web", float(i % 4), ("LOW", "HIGH")[i % 2], "train" if i % 4 else "test")
+            for i in range(40)]
+    split = spark.createDataFrame(rows, "row_seq long, customer_id string, ticket_text string, product string, "
+                                        "previous_tickets double, priority string, split string")
+    monkeypatch.setattr(training, "ROWS_PER_PARTITION", 5)
+    monkeypatch.setattr(training, "_check_inputs", lambda *a: ["previous_tickets"])
+    monkeypatch.setattr(boosting, "fit", fit)
+    with pytest.raises(Stop) as seen:
+        training.train_priority_model(split, "boosted", max_features=20, components=2)
+    assert seen.value.args == (1,)
+
+
+def test_trees_lead_rows_to_the_same_nodes_as_step_by_step():
+    rng = np.random.default_rng(5)
+    bins = rng.integers(0, boosting.BINS, (200, 4)).astype(np.uint8)
+    tree = boosting.Tree(np.array([2, 0, -1, 3, -1, -1, -1] + [-1] * 8), np.array([30, 63, 0, 5, 0, 0, 0] + [0] * 8), np.zeros(15))
+    for depth in range(4):
+        want = []
+        for row in bins:
+            at = 0
+            for _ in range(depth):
+                at = at if tree.feature[at] < 0 else 2 * at + 1 + int(row[tree.feature[at]] > tree.cut[at])
+            want.append(at)
+        assert tree.nodes(bins, depth).tolist() == want
+
+
 def test_boosting_is_the_same_with_and_without_rewritten_scores(spark, monkeypatch):
     rng = np.random.default_rng(0)
     table = [(i, int(rng.integers(3)), float(rng.integers(1, 3)), [(j, float(v)) for j, v in enumerate(rng.normal(size=4))]) for i in range(200)]
