@@ -203,3 +203,12 @@ def test_encoder_feeds_the_index(spark):
     found = retrieval.similar_tickets(index, asked, 50).collect()
     assert len(found) == 3 and {r["query_id"] for r in found} == {"q"}
     assert min(found, key=lambda r: r["rank"])["ticket_id"] == "a"
+
+
+def test_accents_are_looked_for_beyond_ascii_only(spark):
+    samples = ["plain", "caf\u00e9 \ufb01ne \u00bd", "\ud55c\uad6d \u1100", "\u0130x \u00df", "a\u0301b", "\U0001d400 \U0001f389", "", None]
+    df = spark.createDataFrame([(t,) for t in samples], "t string")
+    out = df.select(text.strip_accents(F.col("t")).alias("a"), text.strip_accents_nfkd(F.col("t")).alias("b"))
+    assert all(r["a"] == r["b"] for r in out.collect())
+    plan = df.select(text.strip_accents(F.col("t")).alias("a"))._jdf.queryExecution().analyzed().toString()
+    assert r"[[^\x00-\x7F]&&[" in plan
