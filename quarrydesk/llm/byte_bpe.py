@@ -21,8 +21,8 @@ from quarrydesk.llm.words import slices
 
 #: The character of byte b is chr(BYTE_BASE + b): letters that no normaliser or pre-tokeniser touches.
 BYTE_BASE = 0x0400
-#: Pre-tokens remembered by a task.
-MEMORY = 200_000
+#: Pre-tokens remembered by a task, and bytes of text encoded at a time.
+MEMORY, PIECE_BYTES = 50_000, 1 << 18
 
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids", pa.list_(pa.int32())), ("ids_sha256", pa.string()),
                   ("decoded_sha256", pa.string())])
@@ -113,7 +113,7 @@ def _coder(lines, pattern: str, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = Codec(lines.value, pattern)
         for batch in batches:
-            for piece in slices(batch, limit=1 << 20):
+            for piece in slices(batch, limit=PIECE_BYTES):
                 coded = codec.encode(piece.column(1).fill_null("").to_pylist())
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": piece.column(0), "n_tokens": [len(ids) for ids, _ in coded],

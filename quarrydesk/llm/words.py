@@ -11,10 +11,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-#: Texts are taken in slices of about so many bytes, so a task's memory does not depend on the batch size.
-SLICE_BYTES = 4 << 20
+#: Texts are taken in slices of about so many bytes, so a task's memory does not depend on the batch size. An executor holds
+#: the largest slice's arrays for each core, also while its Python workers wait.
+SLICE_BYTES = 1 << 20
 #: Bytes hashed at a time.
-HASH_BYTES = 1 << 20
+HASH_BYTES = 1 << 18
 
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _SPACE = np.zeros(256, dtype=bool)
