@@ -1,5 +1,6 @@
 """Trained models keep their invariants; streams equal batch."""
 
+import tracemalloc
 import warnings
 
 import numpy as np
@@ -280,3 +281,32 @@ def test_index_stream_appends_a_ticket_once(spark, sf_dir, tmp_path):
     jobs.index_stream(stream, str(tmp_path / "out"), D.index(spark, sf_dir), load_hashing_encoder).awaitTermination()
     got = spark.read.parquet(str(tmp_path / "out"))
     assert got.count() == got.select("ticket_id").distinct().count() == jobs.clean_stream(raw).select("ticket_id").distinct().count()
+
+
+def test_partitions_of_a_fit_follow_its_rows(spark, monkeypatch):
+    """Each scan sends a set of sums for each partition, so a large table has few; the sums are the same in two levels."""
+    assert [training._parts(n) for n in (0, 999, 8_000, 32_000, 400_000, 2_400_000)] == [1, 1, 8, 32, 32, 150]
+    x, code, _, rows = _sparse_rows(spark)
+    loss, at = linear_fit.Softmax(np.arange(3), np.array([1.0, 2.0, 0.5]), 1.0), np.full((x.shape[1] + 1, 3), 0.1)
+    straight = linear_fit._loss_and_gradient(rows, loss, at)
+    monkeypatch.setattr(linear_fit, "DRIVER_BYTES", 1)
+    merged = linear_fit._loss_and_gradient(rows, loss, at)
+    assert all(np.allclose(a, b, rtol=1e-12) for a, b in zip(straight, merged))
+
+
+def test_products_hold_one_column_at_a_time():
+    rng = np.random.default_rng(2)
+    n, per_row, cells = 200, 300, 20
+    idx, x, begin = rng.integers(0, 500, n * per_row).astype(np.int32), rng.normal(size=n * per_row), np.arange(n + 1) * per_row
+    block = linear_fit.Block(np.zeros(n, np.int32), np.zeros(n, np.int32), begin, idx, x, np.argsort(idx, kind="stable"))
+    weights, values, into = rng.normal(size=(501, cells)), rng.normal(size=(n, cells)), np.zeros((501, cells))
+    tracemalloc.start()
+    got = block.times(weights)
+    block.add_transposed(values, into)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    dense = np.zeros((n, 500))
+    np.add.at(dense, (np.repeat(np.arange(n), per_row), idx), x)
+    assert np.allclose(got, dense @ weights[:-1] + weights[-1])
+    assert np.allclose(into, np.vstack([dense.T @ values, values.sum(axis=0)]))
+    assert peak < 8 * len(idx) * 8                          # some numbers for each entry, not ``cells`` of them
