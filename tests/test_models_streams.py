@@ -310,3 +310,26 @@ def test_products_hold_one_column_at_a_time():
     assert np.allclose(got, dense @ weights[:-1] + weights[-1])
     assert np.allclose(into, np.vstack([dense.T @ values, values.sum(axis=0)]))
     assert peak < 8 * len(idx) * 8                          # some numbers for each entry, not ``cells`` of them
+
+
+def test_explanations_row_by_row_equal_the_join(spark, sf_dir, monkeypatch):
+    split = D.customer_split(spark, sf_dir)
+    trained = training.train_category_model(split, "lr", max_features=300)
+    tickets = splits.test_rows(split)
+    near = triage.categorise(tickets, trained)
+    scan = near._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in scan and "SortMergeJoin" not in scan       # tickets are not taken apart
+    twice = tickets.unionByName(tickets.limit(3))                       # rows that share a number are explained together
+    shown = [triage.categorise(twice, trained).drop("category_confidence")]
+    monkeypatch.setattr("quarrydesk.operators.scans.MATRIX_BYTES", 1)
+    joined = triage.categorise(tickets, trained)
+    shown.append(triage.categorise(twice, trained).drop("category_confidence"))
+    counts = [df.select(ROW_SEQ, "category", F.size("explanation")).groupBy(ROW_SEQ).count().orderBy(ROW_SEQ).collect() for df in shown]
+    assert counts[0] == counts[1] and max(r["count"] for r in counts[0]) > 1
+    rows = [{r[ROW_SEQ]: r for r in df.collect()} for df in (near, joined)]
+    assert rows[0].keys() == rows[1].keys() and len(rows[0]) == tickets.count()
+    for key, r in rows[0].items():
+        other = rows[1][key]
+        assert r["category"] == other["category"] and [f["feature"] for f in r["explanation"]] == [f["feature"] for f in other["explanation"]]
+        for name in ("weight", "contribution"):
+            assert np.allclose([f[name] for f in r["explanation"]], [f[name] for f in other["explanation"]], atol=1.1e-4)
