@@ -256,3 +256,51 @@ def test_tickets_are_numbered_without_their_texts(spark, sf_dir):
     for k in windows:
         below = [line for line, d in zip(plan[k + 1:], depth[k + 1:]) if d > depth[k]]
         assert not any("text#" in line for line in below if "Project [" in line)
+
+
+def test_blocks_of_groups_meet_in_pieces_of_any_size(monkeypatch):
+    rng = np.random.default_rng(6)
+
+    def tile(gids):
+        rks = [np.sort(rng.choice(40, rng.integers(1, 30), replace=False)).astype(np.int32) for _ in gids]
+        ws = [(w := np.float32(rng.random(len(r)) + 0.1)) / np.linalg.norm(w) for r in rks]
+        for k in range(0, len(gids) - 1, 7):                    # near copies
+            rks[k + 1], ws[k + 1] = rks[k], ws[k]
+        vectors.update({g: (r, w) for g, r, w in zip(gids, rks, ws)})
+        return np.array(gids), np.array([len(r) for r in rks]), np.concatenate(rks), np.concatenate(ws)
+
+    def cosine(a, b):
+        dense = np.zeros((2, 40))
+        for k, g in enumerate((a, b)):
+            dense[k, vectors[g][0]] = vectors[g][1]
+        return dense[0] @ dense[1]
+
+    vectors = {}
+    arrays = [tile([3 * k + s for k in range(50)]) for s in range(2)]
+    for one, two in ((0, 0), (0, 1)):
+        pairs = {(a, b) for a in arrays[one][0] for b in arrays[two][0] if (a < b if one == two else a != b)}
+        want = {p for p in pairs if cosine(*p) >= 0.8 - neardup.SINGLE_SLACK}
+        assert want
+        for piece, profile, dense in ((1_024, 256, 32), (7, 4, 32), (9, 4, 1)):
+            for name, value in (("PIECE", piece), ("PROFILE", profile), ("DENSE", dense)):
+                monkeypatch.setattr(neardup, name, value)
+            first = neardup._Tile(*arrays[one])
+            found = [tuple(sorted(p)) if one == two else p for a, b in neardup._near_rows(
+                first, first if one == two else neardup._Tile(*arrays[two]), 0.8) for p in zip(a.tolist(), b.tolist())]
+            assert len(found) == len(set(found)) and set(found) == want
+
+
+def test_pairs_of_groups_are_the_same_by_blocks_and_by_terms(spark):
+    """Blocks let the true pairs out and hardly any other, whatever the lists of the terms; no block is met twice."""
+    _, df = _tickets(spark)
+    groups = neardup._group_vectors(neardup.vector_groups(tf.distinct_texts(df), 5000)).cache()
+    by_terms = neardup.verified_pairs(neardup.candidate_pairs(groups, 0.6), groups, 0.6).collect()
+    for block in (3, 20, neardup.TILE):
+        dealt = neardup.tiled_pairs(groups, 0.6, block)
+        assert sorted(map(tuple, dealt.collect())) == sorted((r["gid_1"], r["gid_2"]) for r in by_terms)
+        assert sorted(neardup.verified_pairs(dealt, groups, 0.6).collect()) == sorted(by_terms)
+    assert neardup.tiled_pairs(groups.limit(0), 0.6).count() == 0
+
+
+def test_a_group_is_sent_to_a_bounded_number_of_blocks():
+    assert [neardup.tile_count(n) for n in (0, 8_192, 8_193, 470_000, 1_048_576, 2_800_000)] == [1, 1, 2, 16, 16, 43]
