@@ -229,6 +229,37 @@ def test_boosting_is_the_same_with_and_without_rewritten_scores(spark, monkeypat
     assert (np.diff(plain.losses) <= 1e-12).all()
 
 
+def test_blocks_of_boosting_come_back_to_their_partition(spark, monkeypatch):
+    """A level is as many tasks as there are partitions, each with the rows of one; their trees are added on the way."""
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 40)
+    rng = np.random.default_rng(8)
+    table = [(i, i % 3, 1.0, [(j, float(v)) for j, v in enumerate(rng.normal(size=3))]) for i in range(900)]
+    rows = spark.createDataFrame(table, "row_seq long, code int, weight double, entries array<struct<idx: int, x: double>>")
+    edges = boosting.bin_edges(rows, 3)
+    laid_out = rows.repartition(3, "row_seq").sortWithinPartitions("row_seq")
+    packed = boosting._blocks(laid_out, edges, 3).cache()
+    kept = boosting._kept(packed, 3)
+    held = dict(kept.mapPartitionsWithIndex(lambda part, blocks: [(part, sum(len(b[1]) // 4 for b in blocks))]).collect())
+    assert held == {r["part"]: r["n"] for r in packed.groupBy("part").agg((F.sum(F.length("code")) / 4).cast("int").alias("n")).collect()}
+    tree = boosting.Tree(np.array([1, -1, -1]), np.array([30, 0, 0]), np.array([0.0, -1.0, 2.0]))
+    model = boosting.BoostedTrees(edges, ((tree,) * 3,), (), 1, 3)
+    whole = [np.frombuffer(b[3]).reshape(-1, 3) for b in boosting._with_round(kept, model).collect()]
+    bins = [np.frombuffer(b[0], np.uint8).reshape(-1, 3) for b in kept.collect()]
+    assert all((s == np.where(b[:, 1] > 30, 2.0, -1.0)[:, None]).all() for s, b in zip(whole, bins)) and sum(map(len, whole)) == 900
+
+
+def test_histograms_feature_by_feature():
+    rng = np.random.default_rng(9)
+    bins, node = rng.integers(0, boosting.BINS, (500, 3)).astype(np.uint8), rng.integers(0, 4, 500)
+    derivatives = rng.normal(size=500), rng.random(500)
+    found, want = np.ones((2, 3, 4, boosting.BINS)), np.ones((2, 3, 4, boosting.BINS))
+    boosting._histograms(found, bins, node, derivatives)
+    for c, d in enumerate(derivatives):
+        for f in range(3):
+            np.add.at(want[c, f], (node, bins[:, f]), d)
+    assert np.allclose(found, want)
+
+
 def test_cleaned_stream_equals_batch(spark, sf_dir, tmp_path):
     stream = jobs.clean_stream(Q._stream_of_raw(spark, sf_dir))
     jobs.append_batches(stream, str(tmp_path / "out")).awaitTermination()
